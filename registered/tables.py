@@ -5,51 +5,51 @@ is an 11-character text whose first two characters are the country code, compute
 key alone: a raw observation carries its own id, so reading them is a projection without any join.
 Codes run from 00 to 29 and nations from 00 to 24, so the inner joins have stations to drop. Values of
 50 become NULL, so every aggregate meets NULLs.
+
+Frames are defined once per session and folder. They are plans, not data: every query reads its tables.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.plans import Dimensions
-from skyfold.sinks import clustered
 
 CODES = 30
 
 
 def _id(key: str) -> Column:
     code = F.lpad((F.col(key) % CODES).cast("string"), 2, "0")
-    return F.concat(code, F.lpad(F.col(key).cast("string"), 9, "0"))
+    # Never NULL by type, so joins on it need no null filter, which would compute the text twice.
+    return F.concat_ws("", code, F.lpad(F.col(key).cast("string"), 9, "0"))
 
 
 def _id_sql(key: str) -> str:
     return f"lpad(cast({key} % {CODES} as varchar), 2, '0') || lpad(cast({key} as varchar), 9, '0')"
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem rows in the stored observation schema."""
-    kind = F.concat("l_returnflag", "l_linestatus")
-    element = (
-        F.when(kind == "AF", "TMAX")
-        .when(kind == "NF", "TMIN")
-        .when(kind == "RF", "TAVG")
-        .when(kind == "AO", "PRCP")
-        .when(kind == "NO", "SNOW")
-        .otherwise("TMAX")
+    flag, is_open = F.col("l_returnflag"), F.col("l_linestatus") == "O"
+    element = F.when(is_open, F.when(flag == "A", "PRCP").when(flag == "N", "SNOW").otherwise("TMAX")).otherwise(
+        F.when(flag == "N", "TMIN").when(flag == "R", "TAVG").otherwise("TMAX")
     )
     value = F.nullif(F.col("l_quantity"), F.lit(50.0)).cast("int")
     return table(spark, sf_dir, "lineitem").select(
         _id("l_suppkey").alias("id"),
         element.alias("meteorological_element"),
-        F.when(kind == "NF", -value).otherwise(value).alias("data_value"),
+        F.when(~is_open & (flag == "N"), -value).otherwise(value).alias("data_value"),
         F.col("l_returnflag").alias("flag_m"),
         F.when(F.col("l_tax") == 0, "").otherwise("X").alias("flag_q"),
         F.col("l_linestatus").alias("flag_s"),
@@ -62,6 +62,7 @@ def with_year(df: DataFrame) -> DataFrame:
     return df.withColumn("year", F.year("date"))
 
 
+@cache
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All supplier rows in the stored station schema."""
     even = F.col("s_suppkey") % 2 == 0
@@ -78,6 +79,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nation rows in the stored country schema."""
     return table(spark, sf_dir, "nation").select(
@@ -85,6 +87,7 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
     return Dimensions.of(stations(spark, sf_dir), countries(spark, sf_dir))
 
@@ -112,6 +115,7 @@ def scratch(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="skyfold-")
 
 
+@cache
 def year_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     """First and last year of the observations."""
     year = F.year("l_shipdate")
@@ -122,7 +126,7 @@ def write_year_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
     """Write all observations as yearly CSV input under ``base``; one path per year."""
     named = raw_text(spark, sf_dir).withColumn("file", F.concat(F.substring("DATE", 1, 4), F.lit(".csv")))
     (
-        clustered(named, "file", "ID", "DATE")
+        named.hint("rebalance", "file")
         .write.partitionBy("file")
         .option("header", True)
         .option("emptyValue", "")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,21 +25,28 @@ VARIANTS = ("exact", "rounded")
 
 @dataclass(frozen=True)
 class Dimensions:
-    """Both lookups of the facts, sized once and shared by all five."""
+    """Both lookups of the facts, shared by all five; each is sized once, when first used."""
 
-    stations: Lookup
-    countries: Lookup
+    staged: DataFrame
+    country_names: DataFrame
+    limit_bytes: int
 
     @classmethod
     def of(
         cls, stations: DataFrame, countries: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
     ) -> Dimensions:
-        staged = stage_stations(stations)
-        described = staged.select("id", F.col("name").alias("station_name"), "latitude_longitude")
-        return cls(
-            Lookup.of(described, "id", limit_bytes),
-            Lookup.of(station_countries(staged, countries), "id", limit_bytes),
-        )
+        return cls(stage_stations(stations), countries, limit_bytes)
+
+    @cached_property
+    def stations(self) -> Lookup:
+        """Station id -> station name and coordinates."""
+        described = self.staged.select("id", F.col("name").alias("station_name"), "latitude_longitude")
+        return Lookup.of(described, "id", self.limit_bytes)
+
+    @cached_property
+    def countries(self) -> Lookup:
+        """Station id -> country name."""
+        return Lookup.of(station_countries(self.staged, self.country_names), "id", self.limit_bytes)
 
 
 def _mean(measure: str) -> Column:

@@ -7,6 +7,7 @@ and a lost job costs its last step.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -64,7 +65,7 @@ def ingest_year(
     """
     _settle(run_suite(read_raw_csv(spark, csv_path), raw_checks(year), str(year)), results_path, run_id)
     typed = read_observations_csv(spark, csv_path).withColumn("year", F.lit(year))
-    replace_years(typed, root, in_place=True)
+    replace_years(typed, root, arrange="keep")
 
 
 def backfill_years(
@@ -89,7 +90,7 @@ def backfill_years(
         no_rows_where("date outside the file's year", F.col("file_year").isNull() | stray),
     ]
     _settle(run_suite(raw, checks, "all years"), results_path, run_id)
-    replace_years(read_observations_csv(spark, paths, with_file_year=True), root, in_place=True)
+    replace_years(read_observations_csv(spark, paths, with_file_year=True), root, arrange="keep")
 
 
 def ingest_dimensions(
@@ -124,8 +125,8 @@ def build_facts(
     """Build all five facts of the inclusive year range under ``out``.
 
     Raw rows are read once, into daily partials; monthly partials come from those, and every fact from
-    one of the two. With ``changed_years`` only those years are read and replaced, and the all-time
-    fact is redone from the monthly partials of all years; the outcome equals a full build.
+    one of the two. With ``changed_years``, after a full build, only those years are read and replaced
+    and the all-time fact is redone from the monthly partials of all years, as a full build would.
     ``sample_rows`` limits the input and each fact for trial runs.
     """
     years = set(range(first_year, last_year + 1)) if changed_years is None else set(changed_years)
@@ -133,6 +134,7 @@ def build_facts(
         raise ValueError(f"years {sorted(years)} are not within {first_year}..{last_year}")
     partial = changed_years is not None
     dimensions = Dimensions.of(stations, countries)
+    _ = dimensions.stations, dimensions.countries  # sized here, before the writes run side by side
     daily_path, monthly_path = f"{out}/partials/daily", f"{out}/partials/monthly"
 
     def of_years(df: DataFrame) -> DataFrame:
@@ -142,7 +144,7 @@ def build_facts(
     write_table(roll_up(raw, ["id"], "day"), daily_path, PARTIALS_LAYOUT, only_years=partial)
     daily = of_years(spark.read.parquet(daily_path))
     write_table(merge_partials(daily, ["id"], "month"), monthly_path, PARTIALS_LAYOUT, only_years=partial)
-    all_months = spark.read.parquet(monthly_path)
+    all_months = spark.read.parquet(monthly_path).where(F.col("year").between(first_year, last_year))
     monthly = of_years(all_months)
 
     # fact -> (partials it reads, whether they are at its grain already)
@@ -153,18 +155,25 @@ def build_facts(
         "countries_yearly": (monthly, False),
         "countries_historic": (all_months, False),
     }
-    for name, (partials, at_grain) in inputs.items():
+
+    def write(name: str) -> None:
+        partials, at_grain = inputs[name]
         fact = fact_from_partials(name, partials, dimensions, variant, at_grain)
         layout = FACTS[name].layout(variant)
+        # Without a shuffle since the scan, rows still lie as in the partials: by year, in this order.
+        unmoved = at_grain and dimensions.stations.fits_broadcast and sample_rows is None
         write_table(
             sample(fact, sample_rows),
             fact_path(out, name),
             layout,
             only_years=partial and layout.by_year,
-            # No shuffle since the scan: the files of the partials are year by year in this order.
-            in_place=at_grain and dimensions.stations.fits_broadcast and sample_rows is None,
+            arrange="keep" if unmoved else "cluster",
         )
 
+    # The small facts run beside the daily one instead of queueing behind its last tasks.
+    with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
+        list(pool.map(write, inputs))
+
 
 def check_sources(observations: DataFrame, stations: DataFrame, countries: DataFrame) -> DataFrame:
     """Declared checks of the three inputs of the facts."""

@@ -45,20 +45,30 @@ def write_table(
     path: str,
     layout: Layout,
     only_years: bool = False,
-    in_place: bool = False,
+    arrange: str = "cluster",
     partitions: int | None = None,
 ) -> None:
-    """Overwrite the table at ``path``.
+    """Overwrite the table at ``path``, with rows in layout order inside each file.
 
     ``only_years`` replaces just the year directories that ``df`` holds and keeps the others.
-    ``in_place`` says that each input partition already lies within about one year (a scan of yearly
-    files, or of a table with this layout): rows are then sorted where they are, without a shuffle.
+
+    ``arrange`` says how rows reach their files:
+
+    ``cluster``  range-partitioned on the layout's order, so each file covers a narrow range. Computes
+                 ``df`` twice from its last shuffle on, as ranges are found by sampling.
+    ``spread``   gathered by year in one pass; AQE cuts years that are large and merges small ones.
+    ``keep``     left in their partitions, without a shuffle: for a scan of yearly files, or of a table
+                 with this layout, where a partition holds about one year already.
     """
     frame = _with_year(df) if layout.by_year else df
-    if in_place:
+    if arrange == "cluster":
+        frame = clustered(frame, *layout.order, partitions=partitions)
+    elif arrange == "spread":
+        frame = frame.hint("rebalance", *(["year"] if layout.by_year else [])).sortWithinPartitions(*layout.order)
+    elif arrange == "keep":
         frame = frame.sortWithinPartitions(*layout.order)
     else:
-        frame = clustered(frame, *layout.order, partitions=partitions)
+        raise ValueError(f"arrange must be cluster, spread or keep, got {arrange!r}")
     writer = frame.write.mode("overwrite")
     if layout.by_year:
         writer = writer.partitionBy("year").option(
@@ -67,16 +77,16 @@ def write_table(
     writer.parquet(path)
 
 
-RAW_LAYOUT = Layout(cluster=("id", "date"))
+OBSERVATION_LAYOUT = Layout(cluster=("id", "date"))
 
 
-def replace_years(observations: DataFrame, root: str, in_place: bool = False) -> None:
+def replace_years(observations: DataFrame, root: str, arrange: str = "spread") -> None:
     """Replace the stored observations of exactly the years present in ``observations``.
 
     The new files are staged and swapped in when the job commits, so a failed run keeps the old year
     and a repeated one leaves the same state.
     """
-    write_table(observations, root, RAW_LAYOUT, only_years=True, in_place=in_place)
+    write_table(observations, root, OBSERVATION_LAYOUT, only_years=True, arrange=arrange)
 
 
 def write_dimension(df: DataFrame, path: str) -> None:
