@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.schema import BLANK_TEXT_COLUMNS, CSV_SCHEMA, DATE_FORMAT, OBSERVATION_COLUMNS
@@ -18,9 +18,10 @@ def _csv_paths(paths: str | Iterable[str]) -> list[str]:
     return found
 
 
-def file_year() -> "F.Column":
-    """The year a row's file is named after (``…/2022.csv`` or ``…/2022.csv/part-…``)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4})\.csv(?:/|$)", 1).cast("int")
+def file_year() -> Column:
+    """The year a row's file is named after (``…/2022.csv`` or ``…/2022.csv/part-…``), else NULL."""
+    year = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4})\.csv(?:/|$)", 1)
+    return F.nullif(year, F.lit("")).cast("int")
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:

@@ -16,4 +16,6 @@ def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Replace table ``name`` with one over the parquet files at ``path``; the files stay in place."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)

@@ -1,0 +1,211 @@
+from __future__ import annotations
+
+from collections import defaultdict
+from datetime import date, timedelta
+from fractions import Fraction
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from skyfold.operators import merge_partials, roll_up
+from skyfold.plans import FACTS, VARIANTS, Dimensions, fact_from_observations, fact_from_partials
+from tests.conftest import NEW_YORK, ST_JOHNS, UNKNOWN, rows_of
+
+NY = ("NEW YORK CNTRL PK TWR", "40.7789, -73.9692")
+SJ = ("ST JOHNS COOLIDGE FLD", "17.1167, -61.7833")
+N = None
+
+EXPECTED = {
+    ("stations_daily", "exact"): [
+        (ST_JOHNS, date(2022, 1, 1), N, N, 25.0, N, *SJ),
+        (ST_JOHNS, date(2022, 2, 1), N, N, 26.1, N, *SJ),
+        (NEW_YORK, date(2021, 12, 31), 10.0, -2.0, N, 1.0, *NY),
+        (NEW_YORK, date(2022, 1, 1), 13.95, N, N, 4.0, *NY),
+        (NEW_YORK, date(2022, 1, 2), N, N, N, N, *NY),
+    ],
+    ("stations_daily", "rounded"): [
+        (ST_JOHNS, date(2022, 1, 1), N, N, 25.0, N, *SJ),
+        (ST_JOHNS, date(2022, 2, 1), N, N, 26.1, N, *SJ),
+        (NEW_YORK, date(2021, 12, 31), 10.0, -2.0, N, 1.0, *NY),
+        (NEW_YORK, date(2022, 1, 1), 14.0, N, N, 2.0, *NY),
+        (NEW_YORK, date(2022, 1, 2), N, N, N, N, *NY),
+    ],
+    ("stations_monthly", "exact"): [
+        (ST_JOHNS, date(2022, 1, 1), N, N, 25.0, N, N, N, 0, *SJ),
+        (ST_JOHNS, date(2022, 2, 1), N, N, 26.1, N, N, N, 0, *SJ),
+        (NEW_YORK, date(2021, 12, 1), 10.0, 10.0, N, -2.0, -2.0, 1.0, 0, *NY),
+        (NEW_YORK, date(2022, 1, 1), 14.0, 13.95, N, N, N, 4.0, 2, *NY),
+    ],
+    ("stations_monthly", "rounded"): [
+        (ST_JOHNS, date(2022, 1, 1), N, N, 25.0, N, N, N, 0, *SJ),
+        (ST_JOHNS, date(2022, 2, 1), N, N, 26.1, N, N, N, 0, *SJ),
+        (NEW_YORK, date(2021, 12, 1), 10.0, 10.0, N, -2.0, -2.0, 1.0, 0, *NY),
+        (NEW_YORK, date(2022, 1, 1), 14.0, 14.0, N, N, N, 4.0, 2, *NY),
+    ],
+    ("stations_yearly", "exact"): [
+        (ST_JOHNS, date(2022, 1, 1), 25.55, *SJ),
+        (NEW_YORK, date(2021, 1, 1), N, *NY),
+        (NEW_YORK, date(2022, 1, 1), N, *NY),
+    ],
+    ("stations_yearly", "rounded"): [
+        (ST_JOHNS, date(2022, 1, 1), 25.6, *SJ),
+        (NEW_YORK, date(2021, 1, 1), N, *NY),
+        (NEW_YORK, date(2022, 1, 1), N, *NY),
+    ],
+    ("countries_yearly", "exact"): [
+        ("Antigua and Barbuda", date(2022, 1, 1), 25.55),
+        ("United States", date(2021, 1, 1), N),
+        ("United States", date(2022, 1, 1), N),
+    ],
+    ("countries_yearly", "rounded"): [
+        ("Antigua and Barbuda", date(2022, 1, 1), 25.6),
+        ("United States", date(2021, 1, 1), N),
+        ("United States", date(2022, 1, 1), N),
+    ],
+    ("countries_historic", "exact"): [
+        ("Antigua and Barbuda", 25.55, N, N),
+        ("United States", N, 14.0, -2.0),
+    ],
+    ("countries_historic", "rounded"): [
+        ("Antigua and Barbuda", N, 25.6, N),
+        ("United States", 14.0, N, -2.0),
+    ],
+}
+
+COLUMNS = {
+    "stations_daily": "id date temp_max temp_min temp_avg precipitation station_name latitude_longitude",
+    "stations_monthly": (
+        "id date temp_max_abs temp_max_avg temp_avg_avg temp_min_avg temp_min_abs "
+        "precipitation_total precipitation_days station_name latitude_longitude"
+    ),
+    "stations_yearly": "id date temp_avg station_name latitude_longitude",
+}
+ALL = [(name, variant) for name in FACTS for variant in VARIANTS]
+
+
+@pytest.fixture(scope="module")
+def dimensions(stations, countries):
+    return Dimensions.of(stations, countries)
+
+
+@pytest.fixture(scope="module")
+def unbroadcast(stations, countries):
+    return Dimensions.of(stations, countries, limit_bytes=0)
+
+
+@pytest.mark.parametrize(("name", "variant"), ALL)
+def test_fact_rows(observations, dimensions, name, variant):
+    df = fact_from_observations(name, observations, dimensions, variant)
+    assert rows_of(df) == sorted(EXPECTED[name, variant], key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+@pytest.mark.parametrize(("name", "columns"), COLUMNS.items())
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_station_fact_columns(observations, dimensions, name, columns, variant):
+    assert fact_from_observations(name, observations, dimensions, variant).columns == columns.split()
+
+
+def test_country_fact_columns_by_variant(observations, dimensions):
+    def columns(name, variant):
+        return fact_from_observations(name, observations, dimensions, variant).columns
+
+    assert columns("countries_yearly", "exact") == ["name", "date", "temp_avg"]
+    assert columns("countries_yearly", "rounded") == ["country_name", "date", "temp_avg"]
+    assert columns("countries_historic", "exact") == ["name", "temp_avg", "temp_max", "temp_min"]
+    assert columns("countries_historic", "rounded") == ["country_name", "temp_max", "temp_avg", "temp_min"]
+
+
+@pytest.mark.parametrize("name", FACTS)
+def test_same_rows_when_dimensions_are_too_large_to_broadcast(observations, dimensions, unbroadcast, name):
+    assert dimensions.stations.fits_broadcast and not unbroadcast.stations.fits_broadcast
+    small = fact_from_observations(name, observations, dimensions)
+    assert rows_of(fact_from_observations(name, observations, unbroadcast)) == rows_of(small)
+
+
+@pytest.mark.parametrize("name", FACTS)
+def test_repeated_stations_multiply_rows_on_both_paths(spark, observations, stations, countries, name):
+    twice = stations.unionAll(stations)
+    small = Dimensions.of(twice, countries)
+    large = Dimensions.of(twice, countries, limit_bytes=0)
+    assert rows_of(fact_from_observations(name, observations, small)) == rows_of(
+        fact_from_observations(name, observations, large)
+    )
+
+
+@pytest.mark.parametrize("name", FACTS)
+def test_from_daily_partials_equals_from_observations(observations, dimensions, name):
+    partials = roll_up(observations, ["id"], "day")
+    assert rows_of(fact_from_partials(name, partials, dimensions)) == rows_of(
+        fact_from_observations(name, observations, dimensions)
+    )
+
+
+def test_unknown_variant_is_refused(observations, dimensions):
+    with pytest.raises(ValueError, match="variant"):
+        fact_from_observations("stations_daily", observations, dimensions, "other")
+
+
+def test_input_may_be_empty(make_observations, dimensions):
+    for name in FACTS:
+        assert rows_of(fact_from_observations(name, make_observations([]), dimensions)) == []
+
+
+READING = st.tuples(
+    st.sampled_from([NEW_YORK, ST_JOHNS, UNKNOWN]),
+    st.integers(0, 800).map(lambda d: date(2020, 12, 1) + timedelta(days=d // 20)),
+    st.sampled_from(["TMAX", "TMIN", "TAVG", "PRCP", "SNOW"]),
+    st.one_of(st.none(), st.integers(-999, 999)),
+)
+
+
+def _brute_force_monthly(readings) -> dict:
+    """Plain Python, one pass, exact fractions."""
+    groups = defaultdict(lambda: defaultdict(list))
+    for station, day, element, value in readings:
+        group = groups[station, day.replace(day=1)]
+        if value is not None:
+            group[element].append(value)
+
+    def mean(values):
+        return float(Fraction(sum(values), 10 * len(values))) if values else None
+
+    return {
+        key: (
+            max(g["TMAX"]) / 10 if g["TMAX"] else None,
+            mean(g["TMAX"]),
+            mean(g["TAVG"]),
+            mean(g["TMIN"]),
+            min(g["TMIN"]) / 10 if g["TMIN"] else None,
+            sum(g["PRCP"]) / 10 if g["PRCP"] else None,
+            sum(v > 10 for v in g["PRCP"]),
+        )
+        for key, g in groups.items()
+        if key[0] != UNKNOWN
+    }
+
+
+@settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(readings=st.lists(READING, max_size=120))
+def test_monthly_equals_brute_force(make_observations, dimensions, readings):
+    df = fact_from_observations("stations_monthly", make_observations(readings), dimensions)
+    got = {(r.id, r.date): tuple(r)[2:9] for r in df.collect()}
+    assert got == _brute_force_monthly(readings)
+
+
+@settings(
+    max_examples=4,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(readings=st.lists(READING, max_size=120))
+def test_partials_merge_exactly(make_observations, readings):
+    observations = make_observations(readings)
+    by_month = merge_partials(roll_up(observations, ["id"], "day"), ["id"], "month")
+    for period in ("month", "year", None):
+        direct = roll_up(observations, ["id"], period)
+        assert rows_of(merge_partials(by_month, ["id"], period)) == rows_of(direct)
