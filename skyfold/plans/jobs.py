@@ -11,14 +11,14 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.operators.quality import QualityError, gate, no_rows_where, not_null, run_suite
+from skyfold.operators.quality import Check, QualityError, gate, header_violations, passed_results, run_suite
 from skyfold.operators.rollup import merge_partials, roll_up
 from skyfold.operators.staging import sample, stage_stations
 from skyfold.plans.facts import FACTS, Dimensions, fact_from_partials
-from skyfold.plans.suites import MODEL_CHECKS, RAW_NOT_NULL, fact_checks, raw_checks
+from skyfold.plans.suites import MODEL_CHECKS, fact_checks, raw_checks
 from skyfold.schema import RAW_HEADER, RUN_ID_FORMAT
 from skyfold.sinks.tables import Layout, replace_years, write_dimension, write_table
 from skyfold.sources.observations import file_year, read_observations_csv, read_raw_csv, read_years
@@ -40,15 +40,41 @@ def store_results(results: DataFrame, path: str, run_id: str) -> DataFrame:
     return results.sparkSession.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
 
 
-def _settle(results: DataFrame, store: str | None, run_id: str | None) -> None:
-    """Compute the results once, store them if asked, and raise on a failure or an empty input."""
-    rows = results.collect()  # one row per check
-    found = results.sparkSession.createDataFrame(rows, results.schema)
-    if store is not None:
-        store_results(found, store, run_id or new_run_id())
-    gate(found)
-    if rows and rows[0].row_count == 0:
-        raise QualityError("the input has no rows; the stored years stay as they are")
+def _load(
+    raw: DataFrame,
+    typed: DataFrame,
+    checks: list[Check],
+    label: str,
+    root: str,
+    results_path: str | None,
+    run_id: str | None,
+) -> None:
+    """Replace the years of ``typed`` if all ``checks`` hold on ``raw``, its text form.
+
+    Good input is read once: the write itself raises on the first row that breaks a check, before
+    anything is published. Only then is the text read again, to count the violations.
+    """
+    spark = raw.sparkSession
+    run_id = run_id or new_run_id()
+    sound = F.col("id").isNotNull() & (F.year("date") == F.col("year"))
+    guarded_id = F.when(sound, F.col("id")).otherwise(F.raise_error(F.lit("a row breaks the checks")))
+    seen = Observation()
+    guarded = typed.withColumn("id", guarded_id).observe(seen, F.count(F.lit(1)).alias("rows"))
+    try:
+        if any(header_violations(raw.columns, c) for c in checks):
+            raise QualityError("unexpected header")
+        replace_years(guarded, root, arrange="keep")
+    except Exception:
+        found = run_suite(raw, checks, label)
+        if results_path is not None:
+            found = store_results(found, results_path, run_id)
+        gate(found)
+        raise  # the checks hold, so the cause is elsewhere: a malformed cell, say
+    rows = seen.get["rows"]
+    if results_path is not None:
+        store_results(passed_results(spark, checks, label, rows), results_path, run_id)
+    if rows == 0:
+        raise QualityError(f"{label}: the input has no rows; the stored years stay as they are")
 
 
 def ingest_year(
@@ -63,9 +89,10 @@ def ingest_year(
 
     A scan split of the file holds one year only, so rows are sorted where they are read: no shuffle.
     """
-    _settle(run_suite(read_raw_csv(spark, csv_path), raw_checks(year), str(year)), results_path, run_id)
+    raw = read_raw_csv(spark, csv_path)
     typed = read_observations_csv(spark, csv_path).withColumn("year", F.lit(year))
-    replace_years(typed, root, arrange="keep")
+    checks = raw_checks(F.lit(year) if "DATE" in raw.columns else None)
+    _load(raw, typed, checks, str(year), root, results_path, run_id)
 
 
 def backfill_years(
@@ -75,22 +102,17 @@ def backfill_years(
     results_path: str | None = None,
     run_id: str | None = None,
 ) -> None:
-    """Ingest many yearly files, named after their year, with one check pass and one write.
+    """Ingest many yearly files, named after their year, with one read and one write.
 
-    Headers are compared file by file, which reads one line each; rows are checked all together.
+    Headers are compared file by file first, which reads one line each.
     """
     paths = list(csv_paths)
     misread = [p for p in paths if read_raw_csv(spark, p).columns != RAW_HEADER]
     if misread:
         raise QualityError(f"unexpected header in {misread}")
-    raw = read_raw_csv(spark, paths).withColumn("file_year", file_year())
-    stray = F.substring("DATE", 1, 4) != F.lpad(F.col("file_year").cast("string"), 4, "0")
-    checks = [
-        *[not_null(c) for c in RAW_NOT_NULL],
-        no_rows_where("date outside the file's year", F.col("file_year").isNull() | stray),
-    ]
-    _settle(run_suite(raw, checks, "all years"), results_path, run_id)
-    replace_years(read_observations_csv(spark, paths, with_file_year=True), root, arrange="keep")
+    raw = read_raw_csv(spark, paths)
+    typed = read_observations_csv(spark, paths, with_file_year=True)
+    _load(raw, typed, raw_checks(file_year()), "all years", root, results_path, run_id)
 
 
 def ingest_dimensions(

@@ -19,7 +19,8 @@ from skyfold.plans import (
 )
 from skyfold.session import SETTINGS, shuffle_partitions
 from skyfold.sinks import replace_years
-from tests.conftest import COUNTRIES, READINGS, STATIONS, rows_of
+from skyfold.sources import read_observations_csv
+from tests.conftest import COUNTRIES, NEW_YORK, READINGS, STATIONS, rows_of
 from tests.test_sources import station_line, write_csv
 
 
@@ -44,9 +45,32 @@ def test_ingest_year_by_year(spark, tmp_path, files, observations):
             ingest_year(spark, path, root, year, results)
             assert spark.read.parquet(root).where(F.col("year") == year).count() > 0
     assert rows_of(spark.read.parquet(root).drop("year")) == rows_of(observations)
+    stored = spark.read.parquet(results)
+    assert stored.where("not passed").count() == 0
+    assert rows_of(stored.groupBy("table_name").agg(F.max("row_count"), F.count("*"))) == [
+        ("2021", 3, 8),
+        ("2022", 9, 8),
+    ]
+
+
+def test_malformed_cell_passes_the_checks_but_keeps_the_year(spark, tmp_path, files, observations):
+    root, results = str(tmp_path / "root"), str(tmp_path / "results")
+    backfill_years(spark, files, root)
+    (tmp_path / "new").mkdir()
+    bad = write_csv(tmp_path / "new" / "2022.csv", [*lines(2022), f"{NEW_YORK},20220101,TMAX,1x,,,,"])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest_year(spark, bad, root, 2022, results)
+    assert rows_of(spark.read.parquet(root).drop("year")) == rows_of(observations)
     assert spark.read.parquet(results).where("not passed").count() == 0
 
 
+def test_ingest_does_not_shuffle(spark, tmp_path, files):
+    typed = read_observations_csv(spark, files, with_file_year=True)
+    typed.sortWithinPartitions("year", "id", "date").createOrReplaceTempView("typed")
+    plan = spark.table("typed")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_backfill_equals_ingest(spark, tmp_path, files, observations):
     root = str(tmp_path / "root")
     for _ in range(2):

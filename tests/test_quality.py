@@ -33,7 +33,7 @@ def outcome(results) -> dict:
 
 
 def test_good_raw_rows_pass(spark):
-    results = run_suite(raw(spark, [GOOD] * 3), raw_checks(2022), "2022")
+    results = run_suite(raw(spark, [GOOD] * 3), raw_checks(F.lit(2022)), "2022")
     assert set(outcome(results).values()) == {(3, 0, True)}
     gate(results)
 
@@ -69,7 +69,7 @@ def test_nulls_are_counted(spark):
 
 def test_dates_of_another_year_fail(spark):
     rows = [GOOD, (GOOD[0], "20211231", *GOOD[2:])]
-    assert outcome(run_suite(raw(spark, rows), raw_checks(2022)))[
+    assert outcome(run_suite(raw(spark, rows), raw_checks(F.lit(2022))))[
         "no_rows_where", "date outside the file's year"
     ] == (2, 1, False)
 
