@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     facts.add_argument("last_year", type=int)
     facts.add_argument("--variant", choices=VARIANTS, default="exact")
     facts.add_argument("--changed-years", type=int, nargs="+")
+    facts.add_argument("--years-per-batch", type=int)
     facts.add_argument("--sample-rows", type=int)
 
     checks = jobs.add_parser("check-facts", help="run the declared checks over built facts")
@@ -69,6 +70,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.last_year,
             args.variant,
             args.changed_years,
+            args.years_per_batch,
             args.sample_rows,
         )
     else:

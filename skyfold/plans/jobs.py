@@ -21,7 +21,7 @@ from skyfold.plans.facts import FACTS, Dimensions, fact_from_partials
 from skyfold.plans.suites import MODEL_CHECKS, fact_checks, raw_checks
 from skyfold.schema import RAW_HEADER, RUN_ID_FORMAT
 from skyfold.sinks.tables import Layout, replace_years, write_dimension, write_table
-from skyfold.sources.observations import file_year, read_observations_csv, read_raw_csv, read_years
+from skyfold.sources.observations import file_year, read_observations_csv, read_raw_csv, read_years, stored_years
 from skyfold.sources.stations import read_countries_txt, read_stations_txt
 
 PARTIALS_LAYOUT = Layout(cluster=("id", "date"))
@@ -142,32 +142,45 @@ def build_facts(
     last_year: int,
     variant: str = "exact",
     changed_years: Iterable[int] | None = None,
+    years_per_batch: int | None = None,
     sample_rows: int | None = None,
 ) -> None:
     """Build all five facts of the inclusive year range under ``out``.
 
     Raw rows are read once, into daily partials; monthly partials come from those, and every fact from
     one of the two. With ``changed_years``, after a full build, only those years are read and replaced
-    and the all-time fact is redone from the monthly partials of all years, as a full build would.
-    ``sample_rows`` limits the input and each fact for trial runs.
+    and the all-time fact is redone from the monthly partials of all years, as a full build would;
+    build fully when the dimensions have changed.
+
+    ``years_per_batch`` makes the partials in several jobs. No group spans two years, so the result is
+    the same, while map tasks times shuffle partitions stay bounded however long the history is.
+    ``sample_rows`` limits the input of a batch and each fact for trial runs.
     """
-    years = set(range(first_year, last_year + 1)) if changed_years is None else set(changed_years)
-    if not years or min(years) < first_year or max(years) > last_year:
-        raise ValueError(f"years {sorted(years)} are not within {first_year}..{last_year}")
+    stored = [y for y in stored_years(spark, root) if first_year <= y <= last_year]
+    years = stored if changed_years is None else sorted(set(changed_years))
+    if not years or not set(years) <= set(stored):
+        raise ValueError(f"asked for {years or 'all'}, but {first_year}..{last_year} holds {stored}")
     partial = changed_years is not None
     dimensions = Dimensions.of(stations, countries)
     _ = dimensions.stations, dimensions.countries  # sized here, before the writes run side by side
     daily_path, monthly_path = f"{out}/partials/daily", f"{out}/partials/monthly"
 
-    def of_years(df: DataFrame) -> DataFrame:
-        return df.where(F.col("year").isin(sorted(years))) if partial else df
+    def of_years(df: DataFrame, wanted: list[int]) -> DataFrame:
+        return df.where(F.col("year").isin(wanted))
+
+    size = years_per_batch or len(years)
+    for start in range(0, len(years), size):
+        batch = years[start : start + size]
+        # The first batch of a full build clears the table, the others add to it.
+        only_years = partial or start > 0
+        raw = sample(of_years(read_years(spark, root, first_year, last_year), batch), sample_rows)
+        write_table(roll_up(raw, ["id"], "day"), daily_path, PARTIALS_LAYOUT, only_years)
+        months = merge_partials(of_years(spark.read.parquet(daily_path), batch), ["id"], "month")
+        write_table(months, monthly_path, PARTIALS_LAYOUT, only_years)
 
-    raw = sample(of_years(read_years(spark, root, first_year, last_year)), sample_rows)
-    write_table(roll_up(raw, ["id"], "day"), daily_path, PARTIALS_LAYOUT, only_years=partial)
-    daily = of_years(spark.read.parquet(daily_path))
-    write_table(merge_partials(daily, ["id"], "month"), monthly_path, PARTIALS_LAYOUT, only_years=partial)
+    daily = of_years(spark.read.parquet(daily_path), years)
     all_months = spark.read.parquet(monthly_path).where(F.col("year").between(first_year, last_year))
-    monthly = of_years(all_months)
+    monthly = of_years(all_months, years)
 
     # fact -> (partials it reads, whether they are at its grain already)
     inputs = {

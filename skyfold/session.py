@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 _MIB = 1024 * 1024
-_BYTES_PER_TASK = 256 * _MIB
+_BYTES_PER_SHUFFLE_PARTITION = 512 * _MIB
+_FEWEST, _MOST = 200, 20_000
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -15,13 +16,17 @@ SETTINGS = {
     # Merge shuffle partitions to the advised size rather than to as many as there are cores.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * _MIB),
-    "spark.sql.files.maxPartitionBytes": str(_BYTES_PER_TASK),
+    "spark.sql.files.maxPartitionBytes": str(256 * _MIB),
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
-def shuffle_partitions(input_bytes: int, at_least: int = 200) -> int:
-    """Shuffle partitions for an input of this size; AQE merges those that turn out small."""
-    return max(at_least, -(-input_bytes // _BYTES_PER_TASK))
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input of this size; AQE merges those that turn out small.
+
+    Bounded, since every map task keeps an entry per partition. Beyond it, build in batches of years.
+    """
+    return min(_MOST, max(_FEWEST, -(-input_bytes // _BYTES_PER_SHUFFLE_PARTITION)))
 
 
 def open_session(app: str, input_bytes: int = 0, settings: dict[str, str] | None = None) -> SparkSession:

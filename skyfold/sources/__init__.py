@@ -3,6 +3,7 @@ from skyfold.sources.observations import (
     read_raw_csv,
     read_year_files,
     read_years,
+    stored_years,
 )
 from skyfold.sources.stations import read_countries_txt, read_fixed_width, read_stations_txt
 from skyfold.sources.tables import read_dimension, read_table, register_external
@@ -18,4 +19,5 @@ __all__ = [
     "read_year_files",
     "read_years",
     "register_external",
+    "stored_years",
 ]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,6 +64,12 @@ def read_years(spark: SparkSession, root: str, first: int, last: int) -> DataFra
     return spark.read.parquet(root).where(F.col("year").between(first, last))
 
 
+def stored_years(spark: SparkSession, root: str) -> list[int]:
+    """Years that have a directory, from the file listing alone."""
+    found = {re.search(r"/year=(\d+)/", f) for f in spark.read.parquet(root).inputFiles()}
+    return sorted({int(m.group(1)) for m in found if m})
+
+
 def read_year_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Union of per-year parquet inputs with duplicates kept.
 

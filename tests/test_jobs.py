@@ -143,6 +143,16 @@ def test_built_facts_cover_the_range_only(spark, built):
             assert read_fact(spark, out, name).where("year(date) <> 2022").count() == 0
 
 
+def test_batches_of_years_give_the_same_facts(spark, built, observations, stations, countries):
+    built()
+    out = built(years_per_batch=1)
+    for name in FACTS:
+        direct = fact_from_observations(name, observations, Dimensions.of(stations, countries))
+        assert rows_of(read_fact(spark, out, name)) == rows_of(direct), name
+    out = built(2022, 2022, years_per_batch=1)
+    assert spark.read.parquet(f"{out}/partials/daily").where("year = 2021").count() == 0
+
+
 def test_refresh_of_one_year_equals_a_full_build(spark, built, observations, stations, countries):
     out = built()
     before = rows_of(read_fact(spark, out, "stations_daily").where("year(date) = 2021"))
@@ -156,11 +166,19 @@ def test_refresh_of_one_year_equals_a_full_build(spark, built, observations, sta
     assert rows_of(read_fact(spark, out, "stations_daily").where("year(date) = 2021")) == before
 
 
-def test_changed_years_must_be_in_range(built):
-    with pytest.raises(ValueError, match="not within"):
-        built(changed_years=[2023])
-    with pytest.raises(ValueError, match="not within"):
-        built(2022, 2021)
+def test_years_must_be_stored_and_in_range(built):
+    with pytest.raises(ValueError, match="2023"):
+        built(2021, 2023, changed_years=[2023])
+    with pytest.raises(ValueError, match="holds"):
+        built(2022, 2022, changed_years=[2021])
+    with pytest.raises(ValueError, match="holds"):
+        built(1763, 2020)
+
+
+def test_a_long_range_may_start_before_the_data(spark, built, observations, stations, countries):
+    out = built(1763, 2030, years_per_batch=10)
+    direct = fact_from_observations("stations_daily", observations, Dimensions.of(stations, countries))
+    assert rows_of(read_fact(spark, out, "stations_daily")) == rows_of(direct)
 
 
 def test_trial_build_is_limited(spark, built):
@@ -199,5 +217,6 @@ def test_ingested_dimensions_equal_the_text(spark, tmp_path, stations, countries
 
 def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(100 * 10**12) > 300_000
+    assert shuffle_partitions(10**12) == 1863
+    assert shuffle_partitions(100 * 10**12) == 20_000
     assert SETTINGS["spark.sql.adaptive.enabled"] == "true"

@@ -94,6 +94,23 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     assert max(sizes) <= 2_500
 
 
+def test_a_hot_year_is_cut_into_files(spark, tmp_path):
+    """Nearly all rows in one year, of one station and one day, still make many write tasks."""
+    path, setting = str(tmp_path / "t"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 200_000, 1, 16).select(
+        F.lit(NEW_YORK).alias("id"),
+        F.when(F.col("id") % 100 == 0, date(2021, 1, 1)).otherwise(date(2022, 1, 1)).alias("date"),
+        F.xxhash64("id").alias("data_value"),
+    )
+    spark.conf.set(setting, "256k")
+    try:
+        replace_years(rows.withColumn("year", F.year("date")), path)
+    finally:
+        spark.conf.unset(setting)
+    assert spark.read.parquet(path).count() == 200_000
+    assert len(list(Path(path, "year=2022").glob("*.parquet"))) > 4
+
+
 def test_view(spark, observations):
     view = register_view(observations, "some_observations")
     assert rows_of(view) == rows_of(observations)
