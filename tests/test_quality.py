@@ -102,7 +102,10 @@ def test_declared_checks_pass_on_the_facts(observations, stations, countries, va
     assert results.count() == sum(len(MODEL_CHECKS[n]) for n in FACTS) + 3
 
 
-MONTHLY = "id string, date date, temp_max_avg double, temp_max_abs double, temp_min_avg double, temp_min_abs double, precipitation_days long"
+MONTHLY = (
+    "id string, date date, temp_max_avg double, temp_max_abs double, temp_min_avg double, "
+    "temp_min_abs double, precipitation_days long"
+)
 
 
 @pytest.mark.parametrize(
