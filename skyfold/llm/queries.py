@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm.common import Scratch, table
@@ -9,6 +10,7 @@ from skyfold.llm.license_scan import scan_licenses
 from skyfold.llm.mixing import mixed_places
 from skyfold.llm.packing import pack
 from skyfold.llm.quality_rules import judged, learn_rules, with_statistics
+from skyfold.llm.token_files import token_digest
 from skyfold.llm.url_filters import BLOCKED_WORDS, filter_urls
 
 
@@ -30,6 +32,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return token_digest(table(spark, sf_dir, "documents"), Scratch(spark, "op7"), vocabulary)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -62,6 +69,13 @@ from ruled
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_mix_sources, op3_quality_rules, op4_url_filters, op10_license_scan)
+    for f in (
+        op1_best_fit_packing,
+        op2_mix_sources,
+        op3_quality_rules,
+        op4_url_filters,
+        op7_token_files,
+        op10_license_scan,
+    )
 }
 ORACLES = {"op4_url_filters": _OP4_SQL}
