@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm.common import Scratch, table
 from skyfold.llm.license_scan import scan_licenses
+from skyfold.llm.minhash import QUERY_SHINGLE_WORDS, near_duplicates
 from skyfold.llm.mixing import mixed_places
 from skyfold.llm.packing import pack
 from skyfold.llm.quality_rules import judged, learn_rules, with_statistics
@@ -37,6 +38,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), Scratch(spark, "op7"), vocabulary)
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op8"), QUERY_SHINGLE_WORDS)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -75,7 +80,42 @@ QUERIES = {
         op3_quality_rules,
         op4_url_filters,
         op7_token_files,
+        op8_minhash_dedup,
         op10_license_scan,
     )
 }
-ORACLES = {"op4_url_filters": _OP4_SQL}
+_OP8_SQL = r"""
+with recursive words as (
+    select doc_id, list_filter(
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[\x20\x09-\x0D]+'), lambda w: w != '') as w
+    from documents
+), shingled as (
+    select doc_id, list_distinct(case when len(w) < 2 then w
+        else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as s
+    from words
+), sized as (
+    select doc_id, len(s) as n, s from shingled
+), exploded as (
+    select doc_id, n, unnest(s) as shingle from sized
+), pairs as (
+    select a.doc_id as a, b.doc_id as b, a.n as n, b.n as m, count(*) as both_
+    from exploded a join exploded b on a.shingle = b.shingle and a.doc_id < b.doc_id
+         and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    group by all
+), links as (
+    select a, b from pairs where 100 * both_ >= 80 * (n + m - both_)
+    union
+    select b, a from pairs where 100 * both_ >= 80 * (n + m - both_)
+), reach as (
+    select doc_id as id, doc_id as seen from sized
+    union
+    select reach.id, links.b from reach join links on reach.seen = links.a
+), least_seen as (
+    select id, min(seen) as component_id from reach group by id
+)
+select doc_id, cast(n as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from sized join least_seen on id = doc_id
+"""
+
+ORACLES = {"op8_minhash_dedup": _OP8_SQL, "op4_url_filters": _OP4_SQL}
