@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm.common import Scratch, table
+from skyfold.llm.minhash import without_near_duplicates
 from skyfold.llm.mixing import mixed_order
 from skyfold.llm.packing import pack
 from skyfold.llm.quality_rules import quality_filter
+from skyfold.llm.suffix_dedup import without_repeats
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,6 +17,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_filter(docs, table(spark, sf_dir, "labels"), Scratch(spark, "quality"))
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates: shingles of five words, similarity 0.8 or more."""
+    return without_near_duplicates(docs, Scratch(spark, "near-dedup"))
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 50 bytes or more that a document with a smaller id holds too."""
+    return without_repeats(docs, Scratch(spark, "suffix-dedup"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts the documents in the order of the source mixture."""
     return mixed_order(docs)
@@ -27,6 +39,8 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("MinHash near-dedup", minhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
     ("mixing sources", mix_sources),
     ("best-fit packing", pack_documents),
 ]

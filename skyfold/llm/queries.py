@@ -11,6 +11,7 @@ from skyfold.llm.minhash import QUERY_SHINGLE_WORDS, near_duplicates
 from skyfold.llm.mixing import mixed_places
 from skyfold.llm.packing import pack
 from skyfold.llm.quality_rules import judged, learn_rules, with_statistics
+from skyfold.llm.suffix_dedup import repeated_bytes
 from skyfold.llm.token_files import token_digest
 from skyfold.llm.url_filters import BLOCKED_WORDS, filter_urls
 
@@ -33,6 +34,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"), Scratch(spark, "op5"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return token_digest(table(spark, sf_dir, "documents"), Scratch(spark, "op7"), vocabulary)
@@ -79,11 +84,44 @@ QUERIES = {
         op2_mix_sources,
         op3_quality_rules,
         op4_url_filters,
+        op5_suffix_dedup,
         op7_token_files,
         op8_minhash_dedup,
         op10_license_scan,
     )
 }
+_OP5_SQL = """
+with bytes as (
+    select doc_id, encode(coalesce(text, '')) as b from documents
+), windows as (
+    select doc_id, i, b[i : i + 49] as w
+    from (select doc_id, b, unnest(range(1, octet_length(b) - 48)) as i from bytes)
+), firsts as (
+    select w, min(doc_id) as least from windows group by w
+), hits as (
+    select doc_id, i from windows join firsts using (w) where doc_id > least
+), covered as (
+    select distinct doc_id, i + unnest(range(0, 50)) as p from hits
+), runs as (
+    select doc_id, min(p) as a, max(p) as z
+    from (select doc_id, p, p - row_number() over (partition by doc_id order by p) as g from covered)
+    group by doc_id, g
+), gaps as (
+    select doc_id, coalesce(lag(z) over (partition by doc_id order by a), 0) + 1 as a, a - 1 as z, a as at_ from runs
+    union all
+    select doc_id, max(z) + 1, null, null from runs group by doc_id
+), kept as (
+    select g.doc_id, string_agg(hex(b[g.a : coalesce(g.z, octet_length(b))]), '' order by g.a) as h
+    from gaps g join bytes using (doc_id) group by g.doc_id
+), sums as (
+    select doc_id, sum(z - a + 1) as n_removed, count(*) as n_spans from runs group by doc_id
+)
+select doc_id, cast(octet_length(b) as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+       cast(coalesce(n_spans, 0) as bigint) as n_spans,
+       sha256(case when h is null then b else unhex(h) end) as kept_sha256
+from bytes left join sums using (doc_id) left join kept using (doc_id)
+"""
+
 _OP8_SQL = r"""
 with recursive words as (
     select doc_id, list_filter(
@@ -118,4 +156,4 @@ select doc_id, cast(n as bigint) as n_shingles, component_id, doc_id = component
 from sized join least_seen on id = doc_id
 """
 
-ORACLES = {"op8_minhash_dedup": _OP8_SQL, "op4_url_filters": _OP4_SQL}
+ORACLES = {"op5_suffix_dedup": _OP5_SQL, "op8_minhash_dedup": _OP8_SQL, "op4_url_filters": _OP4_SQL}
