@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skyfold.llm.backoff import backoff_scores
 from skyfold.llm.common import Scratch, table
 from skyfold.llm.license_scan import scan_licenses
 from skyfold.llm.minhash import QUERY_SHINGLE_WORDS, near_duplicates
@@ -47,6 +49,11 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op8"), QUERY_SHINGLE_WORDS)
 
 
+def op9_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = backoff_scores(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+    return scores.select("doc_id", "n_words", *[F.round(c, 4).alias(c) for c in ("log_score", "mean_log_score")])
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -87,6 +94,7 @@ QUERIES = {
         op5_suffix_dedup,
         op7_token_files,
         op8_minhash_dedup,
+        op9_backoff_scores,
         op10_license_scan,
     )
 }
@@ -156,4 +164,56 @@ select doc_id, cast(n as bigint) as n_shingles, component_id, doc_id = component
 from sized join least_seen on id = doc_id
 """
 
-ORACLES = {"op5_suffix_dedup": _OP5_SQL, "op8_minhash_dedup": _OP8_SQL, "op4_url_filters": _OP4_SQL}
+_OP9_SQL = r"""
+with split as (
+    select doc_id, list_filter(
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[\x20\x09-\x0D]+'), lambda w: w != '') as w
+    from documents
+), words as (
+    select doc_id, i, w[i] as w3, case when i > 1 then w[i - 1] end as w2, case when i > 2 then w[i - 2] end as w1
+    from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from split)
+), size as (
+    select count(*) as n from words
+), c1 as (
+    select w3, count(*) as c from words group by all
+), c2 as (
+    select w2, w3, count(*) as c from words where i > 1 group by all
+), c3 as (
+    select w1, w2, w3, count(*) as c from words where i > 2 group by all
+), o1 as (
+    select doc_id, w3, count(*) as o from words group by all
+), o2 as (
+    select doc_id, w2, w3, count(*) as o from words where i > 1 group by all
+), o3 as (
+    select doc_id, w1, w2, w3, count(*) as o from words where i > 2 group by all
+), others as (
+    select t.doc_id, t.i, len(s.w) as own, c1.c - o1.o as a3, p1.c - q1.o as a2, c2.c - o2.o as a23, p2.c - q2.o as a12,
+           c3.c - o3.o as a123
+    from words t
+    join split s on t.doc_id = s.doc_id
+    join c1 on c1.w3 = t.w3
+    join o1 on o1.doc_id = t.doc_id and o1.w3 = t.w3
+    left join c1 p1 on p1.w3 = t.w2
+    left join o1 q1 on q1.doc_id = t.doc_id and q1.w3 = t.w2
+    left join c2 on c2.w2 = t.w2 and c2.w3 = t.w3
+    left join o2 on o2.doc_id = t.doc_id and o2.w2 = t.w2 and o2.w3 = t.w3
+    left join c2 p2 on p2.w2 = t.w1 and p2.w3 = t.w2
+    left join o2 q2 on q2.doc_id = t.doc_id and q2.w2 = t.w1 and q2.w3 = t.w2
+    left join c3 on c3.w1 = t.w1 and c3.w2 = t.w2 and c3.w3 = t.w3
+    left join o3 on o3.doc_id = t.doc_id and o3.w1 = t.w1 and o3.w2 = t.w2 and o3.w3 = t.w3
+), scored as (
+    select doc_id, i, ln(case
+        when i > 2 and a123 > 0 then a123::double / a12
+        when i > 1 and a23 > 0 then (case when i > 2 then 0.4 else 1.0 end)::double * a23 / a2
+        else (case when i > 2 then 0.16 when i > 1 then 0.4 else 1.0 end)::double * greatest(a3, 0.5::double) / greatest(n - own, 1)
+    end) as s
+    from others, size
+), sums as (
+    select doc_id, sum(s) as s from scored group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, round(coalesce(s, 0), 4) as log_score, round(s / nullif(len(w), 0), 4) as mean_log_score
+from split left join sums using (doc_id)
+"""
+
+ORACLES = {"op9_backoff_scores": _OP9_SQL, "op5_suffix_dedup": _OP5_SQL, "op8_minhash_dedup": _OP8_SQL, "op4_url_filters": _OP4_SQL}
