@@ -11,6 +11,7 @@ from skyfold.llm.common import Scratch, table
 from skyfold.llm.license_scan import scan_licenses
 from skyfold.llm.minhash import QUERY_SHINGLE_WORDS, near_duplicates
 from skyfold.llm.mixing import mixed_places
+from skyfold.llm.nn_descent import nearest
 from skyfold.llm.packing import pack
 from skyfold.llm.quality_rules import judged, learn_rules, with_statistics
 from skyfold.llm.suffix_dedup import repeated_bytes
@@ -40,6 +41,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"), Scratch(spark, "op5"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, Scratch(spark, "op6"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return token_digest(table(spark, sf_dir, "documents"), Scratch(spark, "op7"), vocabulary)
@@ -92,6 +97,7 @@ QUERIES = {
         op3_quality_rules,
         op4_url_filters,
         op5_suffix_dedup,
+        op6_nn_descent,
         op7_token_files,
         op8_minhash_dedup,
         op9_backoff_scores,
