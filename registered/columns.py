@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from registered.tables import (
     mean_sql,
     observations,
     raw_text,
+    scratch,
     stations,
     total_sql,
 )
@@ -38,6 +41,7 @@ from skyfold.operators import (
     stage_countries,
     stage_stations,
 )
+from skyfold.schema import SAMPLE_ROWS
 from skyfold.sinks import register_view
 from skyfold.sources import read_table
 
@@ -146,14 +150,16 @@ def round_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{WITH_SQL} select * from sta")
 def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_view(stage_stations(stations(spark, sf_dir)), "staged_stations")
-    return read_table(spark, "staged_stations")
+    name = f"staged_stations_{uuid.uuid4().hex}"
+    register_view(stage_stations(stations(spark, sf_dir)), name)
+    return read_table(spark, name)
 
 
 @query(COUNTRIES_SQL)
 def scan_named_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_view(stage_countries(countries(spark, sf_dir)), "staged_countries")
-    return read_table(spark, "staged_countries")
+    name = f"staged_countries_{uuid.uuid4().hex}"
+    register_view(stage_countries(countries(spark, sf_dir)), name)
+    return read_table(spark, name)
 
 
 @query(
@@ -242,6 +248,20 @@ def count_if_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy("id", "date").agg(count_above("p", 1).alias("precipitation_days"))
 
 
-@query()
+@query(
+    """
+select least(500, count(*)) as sampled, cast(0 as bigint) as absent from lineitem
+"""
+)
 def sample_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample(pivot_elements(observations(spark, sf_dir)))
+    """How many rows a trial sample holds, and how many of them, counted with repetitions, the whole does not hold."""
+    whole = pivot_elements(observations(spark, sf_dir))
+    path = f"{scratch(spark)}/sample"
+    sample(whole, SAMPLE_ROWS).write.parquet(path)
+    sampled = spark.read.parquet(path)
+    counted = sampled.select(F.lit(1).alias("held"), F.lit(0).alias("gone")).unionAll(
+        sampled.exceptAll(whole).select(F.lit(0), F.lit(1))
+    )
+    return counted.agg(
+        F.coalesce(F.sum("held"), F.lit(0)).alias("sampled"), F.coalesce(F.sum("gone"), F.lit(0)).alias("absent")
+    )

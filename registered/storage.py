@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registered.facts import fact_sql
+from registered.facts import fact_sql, long_sql
 from registered.registry import query
 from registered.tables import (
     COUNTRIES_SQL,
@@ -23,6 +23,7 @@ from registered.tables import (
     with_year,
     write_year_files,
     year_span,
+    years_of,
 )
 from skyfold.operators import union_years as union_frames
 from skyfold.plans import (
@@ -35,7 +36,7 @@ from skyfold.plans import (
 )
 from skyfold.plans.facts import FACTS
 from skyfold.schema import OBSERVATION_COLUMNS
-from skyfold.sinks import Layout, replace_years, write_dimension, write_table
+from skyfold.sinks import replace_years, write_dimension, write_table
 from skyfold.sources import (
     read_countries_txt,
     read_dimension,
@@ -105,8 +106,7 @@ def scan_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(OBSERVATIONS_SQL)
 def union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stored(spark, sf_dir)
-    first, last = year_span(spark, sf_dir)
-    paths = [f"{root}/year={year}" for year in range(first, last + 1)]
+    paths = [f"{root}/year={year}" for year in years_of(spark, sf_dir)]
     return read_year_files(spark, paths).select(OBSERVATION_COLUMNS)
 
 
@@ -145,7 +145,10 @@ def replace_year_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch(spark)}/observations"
     observations(spark, sf_dir).write.parquet(path)
-    return register_external(spark, f"external_{uuid.uuid4().hex}", path)
+    name = f"external_{uuid.uuid4().hex}"
+    found = register_external(spark, name, path)
+    spark.sql(f"DROP TABLE {name}")  # the entry; the files stay, and the frame reads them
+    return found
 
 
 @query(fact_sql("stations_daily", "exact"))
@@ -161,7 +164,7 @@ def write_fact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch(spark)}/countries_yearly"
     obs, names = observations(spark, sf_dir), dimensions(spark, sf_dir)
     df = fact_from_observations("countries_yearly", obs, names, "rounded")
-    write_table(df, path, Layout(cluster=("date", "country_name"), by_year=False))
+    write_table(df, path, FACTS["countries_yearly"].layout("rounded"), arrange="spread")
     return spark.read.parquet(path)
 
 
@@ -185,7 +188,14 @@ def job_ingest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(root).select(OBSERVATION_COLUMNS)
 
 
-@query(STATIONS_SQL)
+@query(
+    f"""
+select 'stations' as table_name, id as key, name, latitude, longitude, elevation, state, gsn_flag, hcn_crn_flag, wmo_id
+from ({STATIONS_SQL}) s
+union all
+select 'countries', code, name, null, null, null, null, null, null, null from ({COUNTRIES_SQL}) c
+"""
+)
 def job_ingest_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark)
     station_lines(spark, sf_dir).write.text(f"{base}/stations.txt")
@@ -193,7 +203,30 @@ def job_ingest_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_dimensions(
         spark, f"{base}/stations.txt", f"{base}/countries.txt", f"{base}/stations", f"{base}/countries"
     )
-    return read_dimension(spark, f"{base}/stations")
+    made = read_dimension(spark, f"{base}/stations").withColumnRenamed("id", "key").withColumn("table_name", F.lit("stations"))
+    listed = read_dimension(spark, f"{base}/countries").withColumnRenamed("code", "key")
+    return made.unionByName(listed.withColumn("table_name", F.lit("countries")), allowMissingColumns=True)
+
+
+def _long(spark: SparkSession, out: str, variant: str) -> DataFrame:
+    """All rows of all five built facts: one row for each measure."""
+    parts = []
+    for name in FACTS:
+        fact = read_fact(spark, out, name, variant)
+        labels = ("id", "name", "country_name", "date", "station_name", "latitude_longitude")
+        key = next(c for c in ("id", "name", "country_name") if c in fact.columns)
+        date = F.col("date") if "date" in fact.columns else F.lit(None).cast("date")
+        measures = F.array(
+            *[
+                F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
+                for c in fact.columns
+                if c not in labels
+            ]
+        )
+        parts.append(
+            fact.select(F.lit(name).alias("fact"), F.col(key).alias("key"), date.alias("date"), F.inline(measures))
+        )
+    return union_frames(parts)
 
 
 def _built(spark: SparkSession, sf_dir: str, variant: str) -> str:
@@ -210,12 +243,12 @@ def _built(spark: SparkSession, sf_dir: str, variant: str) -> str:
     return out
 
 
-@query(fact_sql("stations_monthly", "rounded"))
+@query(long_sql("rounded"))
 def job_build_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_fact(spark, _built(spark, sf_dir, "rounded"), "stations_monthly")
+    return _long(spark, _built(spark, sf_dir, "rounded"), "rounded")
 
 
-@query(fact_sql("countries_historic", "exact"))
+@query(long_sql("exact"))
 def job_refresh_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts built on an outdated year, then refreshed for that year only."""
     base = scratch(spark)
@@ -227,4 +260,4 @@ def job_refresh_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     build_facts(spark, root, *names, out, *span)
     replace_years(correct, root)
     build_facts(spark, root, *names, out, *span, changed_years=[CHANGED_YEAR])
-    return read_fact(spark, out, "countries_historic")
+    return _long(spark, out, "exact")

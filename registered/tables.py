@@ -11,6 +11,8 @@ Frames are defined once per session and folder. They are plans, not data: every
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -26,11 +28,12 @@ CODES = 30
 def _id(key: str) -> Column:
     code = F.lpad((F.col(key) % CODES).cast("string"), 2, "0")
     # Never NULL by type, so joins on it need no null filter, which would compute the text twice.
-    return F.concat_ws("", code, F.lpad(F.col(key).cast("string"), 9, "0"))
+    digits = F.col(key).cast("string")
+    return F.concat_ws("", code, F.lpad(digits, F.greatest(F.length(digits), F.lit(9)), F.lit("0")))
 
 
 def _id_sql(key: str) -> str:
-    return f"lpad(cast({key} % {CODES} as varchar), 2, '0') || lpad(cast({key} as varchar), 9, '0')"
+    return f"lpad(cast({key} % {CODES} as varchar), 2, '0') || lpad(cast({key} as varchar), greatest(length(cast({key} as varchar)), 9)::int, '0')"
 
 
 @cache
@@ -108,18 +111,33 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder path: in the cluster's shared checkpoint folder, or local where none is named."""
+    """A new folder path in the cluster's shared checkpoint folder.
+
+    A local session that names none gets a temporary folder, removed at exit; a cluster is refused, as its executors would each
+    write to their own disk.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/skyfold-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="skyfold-")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or "cluster" in master:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    folder = tempfile.mkdtemp(prefix="skyfold-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 @cache
+def years_of(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The years that observations lie in, ascending."""
+    found = table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year")).distinct().collect()
+    return sorted(r["year"] for r in found if r["year"] is not None)
+
+
 def year_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     """First and last year of the observations."""
-    year = F.year("l_shipdate")
-    return tuple(table(spark, sf_dir, "lineitem").agg(F.min(year), F.max(year)).first())
+    years = years_of(spark, sf_dir)
+    return years[0], years[-1]
 
 
 def write_year_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
@@ -132,8 +150,7 @@ def write_year_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
         .option("emptyValue", "")
         .csv(base)
     )
-    first, last = year_span(spark, sf_dir)
-    return [f"{base}/file={year}.csv" for year in range(first, last + 1)]
+    return [f"{base}/file={year}.csv" for year in years_of(spark, sf_dir)]
 
 
 def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from skyfold.operators import gate
-from skyfold.plans import backfill_years, build_facts, check_tables, ingest_dimensions, ingest_year, store_results
+from skyfold.plans import backfill_years, build_facts, check_sources, check_tables, ingest_dimensions, ingest_year, store_results
 from skyfold.plans.facts import VARIANTS
 from skyfold.plans.jobs import new_run_id
 from skyfold.session import open_session
@@ -42,8 +42,13 @@ def _parser() -> argparse.ArgumentParser:
     facts.add_argument("last_year", type=int)
     facts.add_argument("--variant", choices=VARIANTS, default="exact")
     facts.add_argument("--changed-years", type=int, nargs="+")
-    facts.add_argument("--years-per-batch", type=int)
-    facts.add_argument("--sample-rows", type=int)
+    facts.add_argument("--sample-rows", type=int, help="a trial build, into a folder of its own")
+    facts.add_argument("--results")
+
+    sources = jobs.add_parser("check-sources", help="run the declared checks over observations, stations and countries")
+    for name in ("root", "stations", "countries"):
+        sources.add_argument(name)
+    sources.add_argument("--results", required=True)
 
     checks = jobs.add_parser("check-facts", help="run the declared checks over built facts")
     checks.add_argument("out")
@@ -70,9 +75,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.last_year,
             args.variant,
             args.changed_years,
-            args.years_per_batch,
             args.sample_rows,
+            args.results,
         )
+    elif args.job == "check-sources":
+        dimensions = read_dimension(spark, args.stations), read_dimension(spark, args.countries)
+        found = check_sources(spark.read.parquet(args.root), *dimensions)
+        gate(store_results(found, args.results, new_run_id()))
     else:
         gate(store_results(check_tables(spark, args.out, args.variant), args.results, new_run_id()))
 

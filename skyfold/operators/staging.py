@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions import coordinates, country_code, element_numeric, element_units
-from skyfold.schema import ELEMENT_COLUMN, SAMPLE_ROWS, STORED_NAME
+from skyfold.schema import ELEMENT_COLUMN, STORED_NAME
 
 _FLAGS = ["flag_m", "flag_q", "flag_s"]
 
@@ -51,6 +51,6 @@ def station_countries(staged_stations: DataFrame, countries: DataFrame) -> DataF
     )
 
 
-def sample(df: DataFrame, rows: int | None = SAMPLE_ROWS) -> DataFrame:
-    """An arbitrary ``rows`` rows for trial runs; ``None`` keeps everything."""
+def sample(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """An arbitrary ``rows`` rows for trial runs; everything unless asked, ``SAMPLE_ROWS`` by custom."""
     return df if rows is None else df.limit(rows)

@@ -103,8 +103,11 @@ class Fact:
     measures: Callable[[str], dict[str, Column]]
 
     def layout(self, variant: str) -> Layout:
-        key = country_column(variant) if self.per_country else "id"
-        return Layout(cluster=(key,), by_year=self.period is not None)
+        """Station facts by year; the small country facts in one piece, by date and country."""
+        if not self.per_country:
+            return Layout(cluster=("id",))
+        date = [] if self.period is None else ["date"]
+        return Layout(cluster=(*date, country_column(variant)), by_year=False)
 
     def finish(self, partials: DataFrame, variant: str) -> DataFrame:
         """Measures and final column names from partials at this fact's grain, names attached."""

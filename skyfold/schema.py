@@ -74,6 +74,9 @@ CSV_SCHEMA = T.StructType(
     [T.StructField(STORED_NAME[h], _RAW_TYPE.get(h, T.StringType())) for h in RAW_HEADER]
 )
 
+# The same under the header names, which Spark compares with the header of every part.
+HEADER_SCHEMA = T.StructType([T.StructField(h, _RAW_TYPE.get(h, T.StringType())) for h in RAW_HEADER])
+
 # Stored order: the parsed date comes last.
 OBSERVATION_COLUMNS = [f.name for f in CSV_SCHEMA if f.name != "date"] + ["date"]
 OBSERVATION_SCHEMA = T.StructType([CSV_SCHEMA[c] for c in OBSERVATION_COLUMNS])

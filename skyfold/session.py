@@ -21,12 +21,12 @@ SETTINGS = {
 }
 
 
-def shuffle_partitions(input_bytes: int) -> int:
+def shuffle_partitions(input_bytes: int, fewest: int = _FEWEST) -> int:
     """Shuffle partitions for an input of this size; AQE merges those that turn out small.
 
-    Bounded, since every map task keeps an entry per partition. Beyond it, build in batches of years.
+    Bounded, since every map task keeps an entry per partition. Jobs over long histories go in batches of years.
     """
-    return min(_MOST, max(_FEWEST, -(-input_bytes // _BYTES_PER_SHUFFLE_PARTITION)))
+    return min(_MOST, max(fewest, -(-input_bytes // _BYTES_PER_SHUFFLE_PARTITION)))
 
 
 def open_session(app: str, input_bytes: int = 0, settings: dict[str, str] | None = None) -> SparkSession:

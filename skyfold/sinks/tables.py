@@ -5,6 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyfold.sinks.publish import Files, aside, swap
+
 _ORIGIN = "_origin_partition"
 
 
@@ -90,8 +92,21 @@ def replace_years(observations: DataFrame, root: str, arrange: str = "spread") -
 
 
 def write_dimension(df: DataFrame, path: str) -> None:
-    """Overwrite an unpartitioned dimension table."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace an unpartitioned dimension table, once the new one is complete."""
+    write_dimensions({path: df})
+
+
+def write_dimensions(frames: dict[str, DataFrame]) -> None:
+    """Replace several tables by path; none is touched before all are written."""
+    spark = next(iter(frames.values())).sparkSession
+    new = {path: aside(path) for path in frames}
+    try:
+        for path, df in frames.items():
+            df.write.parquet(new[path])
+        swap(spark, [(new[path], path) for path in frames])
+    finally:
+        for path in new.values():
+            Files(spark).delete(path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.schema import BLANK_TEXT_COLUMNS, CSV_SCHEMA, DATE_FORMAT, OBSERVATION_COLUMNS
+from skyfold.schema import BLANK_TEXT_COLUMNS, DATE_FORMAT, HEADER_SCHEMA, OBSERVATION_COLUMNS, STORED_NAME
+from skyfold.sinks.publish import Files
 
 
 def _csv_paths(paths: str | Iterable[str]) -> list[str]:
@@ -19,6 +20,12 @@ def _csv_paths(paths: str | Iterable[str]) -> list[str]:
     return found
 
 
+def year_of_path(path: str) -> int | None:
+    """The year that a yearly file is named after."""
+    found = re.search(r"(\d{4})\.csv/?$", path)
+    return int(found.group(1)) if found else None
+
+
 def file_year() -> Column:
     """The year a row's file is named after (``…/2022.csv`` or ``…/2022.csv/part-…``), else NULL."""
     year = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4})\.csv(?:/|$)", 1)
@@ -38,17 +45,18 @@ def read_observations_csv(
 ) -> DataFrame:
     """Yearly files as typed observations.
 
-    Names are bound by position and the header line is skipped. A malformed number or date raises
-    when the row is read in full, so at a write of all columns; a ``count()`` or a narrow ``select``
+    Every part's header must hold the expected names in order, or the read of that part raises. A
+    malformed number or date raises when the row is read in full, so at a write of all columns; a ``count()`` or a narrow ``select``
     may not parse the bad cell. Blank text stays '', a blank number is NULL.
     """
     df = (
-        spark.read.schema(CSV_SCHEMA)
+        spark.read.schema(HEADER_SCHEMA)
         .option("header", True)
-        .option("enforceSchema", True)
+        .option("enforceSchema", False)
         .option("dateFormat", DATE_FORMAT)
         .option("mode", "FAILFAST")
         .csv(_csv_paths(paths))
+        .withColumnsRenamed(STORED_NAME)
     )
     columns = [
         F.coalesce(c, F.lit("")).alias(c) if c in BLANK_TEXT_COLUMNS else F.col(c)
@@ -65,9 +73,8 @@ def read_years(spark: SparkSession, root: str, first: int, last: int) -> DataFra
 
 
 def stored_years(spark: SparkSession, root: str) -> list[int]:
-    """Years that have a directory, from the file listing alone."""
-    found = {re.search(r"/year=(\d+)/", f) for f in spark.read.parquet(root).inputFiles()}
-    return sorted({int(m.group(1)) for m in found if m})
+    """Years that have a directory, from the listing of directories alone."""
+    return sorted(Files(spark).years(root))
 
 
 def read_year_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:

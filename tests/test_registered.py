@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from registered.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="driver tables not found")
 
@@ -38,15 +39,18 @@ def test_query_equals_its_sql(spark, database, name):
     assert got[1], "an empty result proves nothing"
 
 
-def test_every_query_has_sql_but_the_arbitrary_sample():
-    assert set(QUERIES) - set(ORACLES) == {"sample_limit"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_one_row_of_each_kind_of_check_fails(spark):
+    failed = {r["check_name"] for r in QUERIES["dq_suite"](spark, SF_DIR).where("not passed").collect()}
+    assert failed == {"not_null", "unique", "no_rows_where", "column_set"}
 
 
-def test_sample_rows_come_from_the_whole(spark):
-    sampled, whole = QUERIES["sample_limit"](spark, SF_DIR), QUERIES["pivot_elements_double"](spark, SF_DIR)
-    assert sampled.count() == 500
-    assert sampled.exceptAll(whole).count() == 0
+def test_no_catalogue_entry_is_left(spark):
+    QUERIES["external_table"](spark, SF_DIR)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("external_")]
 
 
 def test_entry(spark):
