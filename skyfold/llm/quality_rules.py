@@ -27,17 +27,17 @@ BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: Statistics that rules may test, over the base counts.
+#: Statistics that rules may test: the quotients of two counts.
 FEATURES = {
-    "words": F.col("n_words").cast("double"),
-    "mean_word_chars": F.try_divide("word_chars", "n_words"),
-    "symbols_per_word": F.try_divide("n_symbols", "n_words"),
-    "dup_line_share": F.try_divide("n_dup_lines", "n_lines"),
-    "repeat_share": F.try_divide("n_repeat_words", "n_words"),
-    "upper_share": F.try_divide("n_upper", "word_chars"),
-    "digit_share": F.try_divide("n_digits", "word_chars"),
-    "shouts_per_word": F.try_divide("n_shouts", "n_words"),
-    "words_per_line": F.try_divide("n_words", "n_lines"),
+    "words": ("n_words", None),
+    "mean_word_chars": ("word_chars", "n_words"),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "dup_line_share": ("n_dup_lines", "n_lines"),
+    "repeat_share": ("n_repeat_words", "n_words"),
+    "upper_share": ("n_upper", "word_chars"),
+    "digit_share": ("n_digits", "word_chars"),
+    "shouts_per_word": ("n_shouts", "n_words"),
+    "words_per_line": ("n_words", "n_lines"),
 }
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_digits", "n_shouts")
@@ -113,6 +113,12 @@ def with_statistics(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", text_statistics(F.col("text")).alias("s")).select("doc_id", "s.*")
 
 
+def feature(name: str) -> Column:
+    """The statistic's value; 0 where there is nothing to divide by."""
+    count, by = FEATURES[name]
+    return F.coalesce(F.try_divide(F.col(count), F.col(by)) if by else F.col(count).cast("double"), F.lit(0.0))
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
@@ -124,7 +130,7 @@ class Condition:
     threshold: float
 
     def column(self) -> Column:
-        value = F.coalesce(FEATURES[self.feature], F.lit(0.0))
+        value = feature(self.feature)
         return value >= self.threshold if self.at_least else value < self.threshold
 
 
@@ -175,7 +181,7 @@ def learn_rules(
         ),
         "labelled",
     )
-    values = [F.coalesce(FEATURES[f], F.lit(0.0)) for f in names]
+    values = [feature(f) for f in names]
     shares = [i / (bins + 1) for i in range(1, bins + 1)]
     cut = rows.agg(*[F.percentile_approx(v, shares, 10_000).alias(f) for f, v in zip(names, values, strict=True)]).first()
     cuts = {f: sorted({*(cut[f] or []), *([1e-9] if 0.0 in (cut[f] or []) else [])}) for f in names}
