@@ -3,12 +3,12 @@
 The index is a table of directed edges, ``DEGREE`` a vector. It starts from neighbours inside small leaves (the vectors nearest to
 one of a bounded number of pivots) and is improved by joins: every vector's neighbours, and those that have it as a neighbour, meet
 at it with their vectors, and each pair of them that is closer than the farthest neighbour of one becomes a candidate edge. The
-best edges of each vector stay, until few change. A search begins at a query's nearest pivots, joins the best unvisited of what
-it has found with the graph, and ends when nothing better turns up. What it finds is scored exactly on the original vectors.
+best edges of each vector stay, until few change. A search begins at a query's nearest pivots, and at its own node if it is
+indexed, joins the best unvisited of what it has found with the graph, and ends when nothing better turns up. What it finds is scored exactly on the original vectors.
 
 Only the pivots are a sample, of at most ``PIVOTS`` vectors, which bounds what is broadcast; every vector is indexed. A leaf
-that is too large is dealt out by hash, and of those that have a vector as neighbour only the nearest ``DEGREE`` meet at it: the
-others are still its neighbours' candidates.
+that is too large is dealt out by hash, and of a vector's neighbours, and of those that have it as one, a choice by hash meets in
+each round, another one each time, so a vector near very many others stays one small group.
 
 Nulls and odd cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without
 id. Rows that share an id are one vector, the least. Equal vectors are one node with its smallest ids, as many as an answer can
@@ -28,18 +28,25 @@ from pyspark.sql import functions as F
 from skyfold.llm.common import Scratch, shuffle_partitions
 
 NEIGHBOURS = 5
-DEGREE = 20
+DEGREE = 40
 PIVOTS = 512
+#: Vectors for each pivot, as far as ``PIVOTS`` allows; leaves that a vector is in, one for each of its nearest pivots; vectors of a leaf.
+PER_PIVOT = 200
+LEAVES = 4
 LEAF = 400
 #: Rounds of descent at most, and the share of edges under which a round changes too little to go on.
-ROUNDS = 6
+ROUNDS = 10
 STABLE = 0.01
+#: Of a vector's neighbours, and of those that have it as one, how many meet at it in a round; another choice each round.
+MEET = 24
+#: Candidates that a vector gets from the vectors met together in one step of a task.
+OFFERS = 10
 #: Vectors that a search keeps, expands in a round, and starts from; rounds at most.
-BEAM = 32
-EXPAND = 8
+BEAM = 128
+EXPAND = 24
 ENTRIES = 8
 SEARCH_ROUNDS = 12
-GROUPS_AT_ONCE = 512
+GROUPS_AT_ONCE = 256
 
 
 def usable(vector: Column) -> Column:
@@ -88,10 +95,11 @@ def nodes_of(vectors: DataFrame, keep_ids: int) -> DataFrame:
 
 
 class Pivots:
-    """At most ``PIVOTS`` nodes, least by hash, with their unit vectors."""
+    """A node for every ``PER_PIVOT`` and at most ``PIVOTS``, least by hash, with their unit vectors."""
 
     def __init__(self, nodes: DataFrame) -> None:
-        rows = nodes.select("id", "unit").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+        wanted = min(PIVOTS, ceil(nodes.count() / PER_PIVOT))
+        rows = nodes.select("id", "unit").orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
         self.ids = np.asarray([r["id"] for r in rows], np.int64)
         self.units = np.stack([np.frombuffer(bytes(r["unit"]), "<f4") for r in rows]) if rows else np.zeros((0, 0), np.float32)
 
@@ -126,17 +134,17 @@ def _leaf_edges(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(_EDGE, ids[u], ids[best.ravel()], score[u, best.ravel()])])
 
 
-def first_edges(nodes: DataFrame, pivots: Pivots, total: int) -> DataFrame:
-    """Edges inside leaves of about ``LEAF`` vectors that share their nearest pivot, for the nearest and the second one."""
+def first_edges(nodes: DataFrame, pivots: Pivots) -> DataFrame:
+    """Edges inside leaves of at most about ``LEAF`` vectors that have a pivot among their ``LEAVES`` nearest."""
     units = nodes.sparkSession.sparkContext.broadcast(pivots.units)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = _matrix(batch.column("unit")) @ units.value.T
-            near = np.argsort(-score, axis=1, kind="stable")[:, :3]
+            near = np.argsort(-score, axis=1, kind="stable")[:, :LEAVES]
             for j in range(near.shape[1]):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("unit"), pa.array(near[:, j] * 3 + j, pa.int64())], names=["id", "unit", "cell"]
+                    [batch.column("id"), batch.column("unit"), pa.array(near[:, j], pa.int64())], names=["id", "unit", "cell"]
                 )
 
     in_cells = nodes.select("id", "unit").mapInArrow(run, "id long, unit binary, cell long")
@@ -147,7 +155,7 @@ def first_edges(nodes: DataFrame, pivots: Pivots, total: int) -> DataFrame:
         in_cells.join(F.broadcast(parts), "cell")
         .withColumn("leaf", leaf)
         .groupBy("cell", "leaf")
-        .applyInArrow(lambda t: _leaf_edges(t), _EDGE_SQL)
+        .applyInArrow(_leaf_edges, _EDGE_SQL)
     )
 
 
@@ -179,7 +187,7 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             good &= ids[index][:, :, None] != ids[index][:, None, :]
             group, a, b = np.nonzero(good)
             u, v, found = ids[index[group, a]], ids[index[group, b]], score[group, a, b]
-            keep = _top(u, v, found, DEGREE)
+            keep = _top(u, v, found, OFFERS)
             yield _batch(_EDGE, u[keep], v[keep], found[keep])
 
     held: pa.Table | None = None
@@ -195,12 +203,14 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(held)
 
 
-def descend(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def descend(edges: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
     """One round: the edges with the candidates that its meetings give, best ones only."""
     spark = edges.sparkSession
-    nth = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("score"), "u"))
-    backward = edges.withColumn("nth", nth).where(F.col("nth") <= DEGREE).select(F.col("v").alias("at"), F.col("u").alias("id"))
-    meet = edges.select(F.col("u").alias("at"), F.col("v").alias("id")).union(backward).distinct()
+    both = edges.select(F.col("u").alias("at"), F.col("v").alias("id"), F.lit(0).alias("side")).union(
+        edges.select("v", "u", F.lit(1))
+    )
+    nth = F.row_number().over(Window.partitionBy("at", "side").orderBy(F.xxhash64("at", "id", F.lit(step)), "id"))
+    meet = both.withColumn("nth", nth).where(F.col("nth") <= MEET).select("at", "id").distinct()
     worst = edges.groupBy(F.col("u").alias("id")).agg(
         F.when(F.count(F.lit(1)) < DEGREE, F.lit(-2.0)).otherwise(F.min("score")).cast("float").alias("worst")
     )
@@ -230,10 +240,10 @@ def descend(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def build_graph(nodes: DataFrame, pivots: Pivots, scratch: Scratch) -> DataFrame:
     """The edge table ``u, v, score`` of all nodes."""
-    edges = scratch.keep(best_edges(first_edges(nodes, pivots, 0)), "graph-0")
+    edges = scratch.keep(best_edges(first_edges(nodes, pivots)), "graph-0")
     total = edges.count()
     for step in range(1, ROUNDS + 1):
-        new = scratch.keep(descend(edges, nodes), f"graph-{step}")
+        new = scratch.keep(descend(edges, nodes, step), f"graph-{step}")
         count = new.count()
         same = new.join(edges, ["u", "v"], "left_semi").count()
         scratch.drop(f"graph-{step - 1}")
@@ -264,8 +274,18 @@ def _scored(pairs: DataFrame, queries: DataFrame, nodes: DataFrame) -> DataFrame
     )
 
 
-def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, pivots: Pivots, scratch: Scratch) -> DataFrame:
-    """``query, id, score`` of at most ``BEAM`` nodes found for each row ``query, unit`` of ``queries``."""
+def search(
+    queries: DataFrame,
+    edges: DataFrame,
+    nodes: DataFrame,
+    pivots: Pivots,
+    scratch: Scratch,
+    indexed: DataFrame | None = None,
+) -> DataFrame:
+    """``query, id, score`` of at most ``BEAM`` nodes found for each row ``query, unit`` of ``queries``.
+
+    A search starts from the nearest pivots, and from the query's own node where ``indexed`` has it as ``query, id``.
+    """
     shared = queries.sparkSession.sparkContext.broadcast(pivots)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +297,11 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, pivots: Pivot
             query = batch.column("query").to_numpy()[rows]
             yield _batch(_FOUND, query, shared.value.ids[best.ravel()], score[rows, best.ravel()], np.zeros(len(rows), bool))
 
-    beam = scratch.keep(queries.select("query", "unit").mapInArrow(enter, _FOUND_SQL), "beam-0")
+    begin = queries.select("query", "unit").mapInArrow(enter, _FOUND_SQL)
+    if indexed is not None:
+        own = queries.select("query").join(indexed, "query").select("query", "id", F.lit(1.0).cast("float"), F.lit(False))
+        begin = begin.union(own).groupBy("query", "id", "visited").agg(F.max("score").alias("score")).select(*_FOUND.names)
+    beam = scratch.keep(begin, "beam-0")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     turn = F.row_number().over(Window.partitionBy("query", "visited").orderBy(F.desc("score"), "id"))
     for step in range(1, SEARCH_ROUNDS + 1):
@@ -324,7 +348,7 @@ def nearest(vectors: DataFrame, queries: Column, scratch: Scratch, k: int = NEIG
             yield pa.RecordBatch.from_arrays([batch.column("query"), pa.array([r.tobytes() for r in v], pa.binary())], names=["query", "unit"])
 
     units = scratch.keep(asked.mapInArrow(unit, "query long, unit binary"), "queries")
-    found = search(units, edges, nodes, pivots, scratch)
+    found = search(units, edges, nodes, pivots, scratch, nodes.select(F.explode("ids").alias("query"), "id"))
     pairs = (
         found.join(nodes.select("id", "ids"), "id")
         .select("query", F.explode("ids").alias("vec_id"))
