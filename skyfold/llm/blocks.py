@@ -22,11 +22,19 @@ BLOCK_BYTES = 8 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
+def runs(ordered: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of equal values in a sorted array."""
+    if len(ordered):
+        cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(ordered)], strict=True):
+            yield int(ordered[a]), slice(a, b)
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """One-dimensional arrays of plain types, compressed into bytes."""
     head = ";".join(f"{a.dtype.str},{len(a)}" for a in arrays).encode()
     body = b"".join([len(head).to_bytes(4, "little"), head, *[np.ascontiguousarray(a).tobytes() for a in arrays]])
-    return zstandard.ZstdCompressor(level=1).compress(body)
+    return zstandard.ZstdCompressor(level=3).compress(body)
 
 
 def unpacked(raw: bytes) -> list[np.ndarray]:
@@ -40,6 +48,25 @@ def unpacked(raw: bytes) -> list[np.ndarray]:
     return out
 
 
+def packed_keys(keys: np.ndarray) -> np.ndarray:
+    """Ascending unsigned keys as differences, byte by byte position, which leaves little to store of the high bytes."""
+    steps = np.diff(keys.astype("<u8"), prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).reshape(-1)
+
+
+def planes(values: np.ndarray) -> np.ndarray:
+    """Signed 64-bit values byte by byte position."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).reshape(-1)
+
+
+def from_planes(raw: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").reshape(-1)
+
+
+def unpacked_keys(raw: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").reshape(-1), dtype=np.uint64)
+
+
 class Block:
     """Documents of a block: ``ids`` (``NO_ID`` for null), ``bounds`` of their bytes in ``text``, other columns in ``rest``."""
 

@@ -65,9 +65,18 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, frame: DataFrame, name: str) -> DataFrame:
-        """Write ``frame`` once and go on from the written table."""
-        frame.write.parquet(self.path(name))
+    def keep(self, frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write ``frame`` once and go on from the written table, in folders by the values of column ``by``.
+
+        The shuffle files of the write go with its end: the table replaces them, whatever executor is lost later.
+        """
+        cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(cleanup)
+        self.spark.conf.set(cleanup, "true")
+        try:
+            (frame.write.partitionBy(by) if by else frame.write).parquet(self.path(name))
+        finally:
+            self.spark.conf.set(cleanup, before)
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

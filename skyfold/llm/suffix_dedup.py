@@ -2,18 +2,20 @@
 
 Every byte that a window of 50 bytes covers is removed if the window also starts in a document with a smaller id. Windows
 are compared where they can be equal: each window has an anchor, the 32-byte string in it with the least hash, so equal
-windows have equal anchors at equal places. The steps, each ending in a written table or a shuffle of compressed arrays:
+windows have equal anchors at equal places. The windows of an anchor's occurrence make a passage of at most 68 bytes. The steps,
+each ending in a written table or a shuffle of compressed arrays:
 
 1. Documents become blocks of bounded size; each block notes its anchors.
-2. Blocks send the hashes of their distinct anchors to hash buckets, which answer with those that occur in two documents.
-3. For those anchors a block cuts out the passages of at most 68 bytes that hold their windows. Equal passages of a block become
-   one, with the least id, and go to the anchor's bucket.
-4. A bucket merges equal passages of all blocks and compares the windows of those left under each anchor with others: their
-   suffixes are sorted, and the interval expansion in ``bwt`` finds the classes of windows that share 50 bytes. Each window gets
-   its class's least id. What an anchor has in one form only is its own class.
-5. The answers go back to the blocks, which mark, join and cut the bytes.
+2. Blocks send each distinct passage once: its anchor's hash, its digest and its least id go to a hash bucket. Where an anchor
+   has one form only, in two documents or more, that passage is a class of windows of its own, and the bucket answers with its
+   least id. Where it has several, the bucket asks for the passages themselves. All else is unique and gets no answer.
+3. Blocks mark what the first kind of answer removes, and cut out the distinct passages asked for.
+4. A bucket joins those passages of all blocks: their suffixes are sorted, and the interval expansion in ``bwt`` finds the classes of
+   windows that share 50 bytes. Each window gets its class's least id.
+5. The classes go back to the blocks, which mark, join and cut the bytes.
 
-A passage that a third of all documents share costs each block one entry a bucket, and no bucket holds it twice.
+A passage that a third of all documents share costs each block one entry. A bucket holds what its anchors occur in, as
+distinct passages: with anchors of 32 bytes, that is little unless one such string has very many different surroundings.
 
 Nulls and odd cases: a null text is empty. A document without id is never cut and never the reason for a cut. Documents that
 share an id do not cut each other. Texts under 50 bytes stay. In cleaned text, a character that a cut splits goes with it.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from skyfold.llm.blocks import NO_ID, Block, as_blocks, packed, unpacked
+from skyfold.llm.blocks import NO_ID, Block, as_blocks, from_planes, packed, packed_keys, planes, runs, unpacked, unpacked_keys
 from skyfold.llm.bwt import least_by_class
 from skyfold.llm.common import Scratch, shuffle_partitions
 
@@ -116,13 +118,6 @@ def _key(h: np.ndarray) -> np.ndarray:
     return (h & U64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _split(order_by: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """Runs of equal values in a sorted array."""
-    cuts = np.flatnonzero(np.concatenate([[True], order_by[1:] != order_by[:-1]])) if len(order_by) else np.zeros(0, int)
-    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order_by)], strict=True):
-        yield int(order_by[a]), slice(a, b)
-
-
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], schema.field(i).type) for i in range(len(schema))], schema=schema)
 
@@ -131,54 +126,94 @@ _ROW = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("kind", pa.str
 _ROW_SQL = "bucket long, block long, kind string, payload binary"
 
 
+class Forms:
+    """The distinct passages of a block: by bucket, anchor key and digest."""
+
+    def __init__(self, block: Block, at: np.ndarray, buckets: int) -> None:
+        h = hashes_at(block.text, at)
+        self.first, self.count = _passages(block, at, h)
+        some = self.count > 0
+        self.first, self.count, self.h = self.first[some], self.count[some], h[some]
+        self.sizes = self.count + MIN_BYTES - 1
+        self.ids = block.ids[np.searchsorted(block.bounds, self.first, side="right") - 1]
+        self.bucket, key = _bucket(self.h, buckets), _key(self.h)
+        digest = np.empty(len(key), U64)
+        for i in range(0, len(key), 1 << 16):
+            part = slice(i, i + (1 << 16))
+            digest[part] = _digest(_rows_at(block.text, self.first[part], self.sizes[part]), self.sizes[part]) >> U64(16)
+        self.order = np.lexsort((digest, key, self.bucket))
+        fresh = _fresh(self.bucket[self.order], key[self.order], digest[self.order])
+        self.form = np.empty(len(key), np.int64)
+        self.form[self.order] = np.cumsum(fresh) - 1
+        starts = np.flatnonzero(fresh)
+        chosen = self.order[starts]
+        self.key, self.digest = key[chosen], digest[chosen]
+        ordered = self.ids[self.order]
+        self.least = np.minimum.reduceat(ordered, starts) if len(starts) else ordered
+        self.several = (np.maximum.reduceat(ordered, starts) if len(starts) else ordered) != self.least
+        self.parts = dict(runs(self.bucket[chosen]))
+
+
 def _announce(buckets: int):
-    """Step 2, from a block: for each bucket the keys of its distinct anchors, apart those that two of its documents hold."""
+    """Step 2, from a block: its distinct passages for each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, raw, at in zip(batch.column("block").to_pylist(), batch.column("payload"), batch.column("anchors"), strict=True):
-                block = Block.from_bytes(raw.as_py())
-                at = np.cumsum(unpacked(at.as_py())[0], dtype=np.int64)
-                h = hashes_at(block.text, at)
-                document = np.searchsorted(block.bounds, at, side="right") - 1
-                to = _bucket(h, buckets)
-                order = np.lexsort((_key(h), to))
-                to, key, document = to[order], _key(h)[order], document[order]
-                first = np.concatenate([[True], (key[1:] != key[:-1]) | (to[1:] != to[:-1])]) if len(key) else np.zeros(0, bool)
-                starts = np.flatnonzero(first)
-                several = (
-                    np.minimum.reduceat(document, starts) != np.maximum.reduceat(document, starts) if len(starts) else np.zeros(0, bool)
-                )
-                to, key = to[starts], key[starts]
-                rows = [(b, number, "ask", packed(key[s], several[s])) for b, s in _split(to)]
-                yield from _table(rows, _ROW).to_batches()
+                forms = Forms(Block.from_bytes(raw.as_py()), np.cumsum(unpacked(at.as_py())[0], dtype=np.int64), buckets)
+                for b, s in forms.parts.items():
+                    digest = forms.digest[s]
+                    payload = packed(
+                        packed_keys(forms.key[s]),
+                        (digest & U64(0xFFFFFFFF)).astype(np.uint32),
+                        (digest >> U64(32)).astype(np.uint16),
+                        planes(forms.least[s]),
+                        forms.several[s],
+                    )
+                    yield from _table([(b, number, "ask", payload)], _ROW).to_batches()
+                del forms
 
     return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Step 2, in a bucket: to each block those of its keys that occur in two documents."""
-    asked = [(b, *unpacked(p.as_py())) for b, p in zip(table.column("block").to_pylist(), table.column("payload"), strict=True)]
-    keys, times = np.unique(np.concatenate([k for _, k, _ in asked]), return_counts=True)
-    wanted = np.union1d(keys[times > 1], np.concatenate([k[s] for _, k, s in asked]))
-    bucket = table.column("bucket")[0].as_py()
-    rows = []
-    for block, key, _ in asked:
-        hit = key[np.isin(key, wanted, assume_unique=True)]
-        if len(hit):
-            rows.append((bucket, block, "answer", packed(hit)))
+    """Step 2, in a bucket: to each block, which of its passages are repeated as they are, with their least ids, and which are
+    wanted because their anchors have other forms."""
+    parts = [unpacked(p.as_py()) for p in table.column("payload")]
+    key = np.concatenate([unpacked_keys(p[0]) for p in parts])
+    digest = np.concatenate([p[1].astype(U64) | (p[2].astype(U64) << U64(32)) for p in parts])
+    least = np.concatenate([from_planes(p[3]) for p in parts])
+    several = np.concatenate([p[4] for p in parts])
+    order = np.lexsort((digest, key))
+    key, digest = key[order], digest[order]
+    new_key, new_form = _fresh(key), _fresh(key, digest)
+    starts, group = np.flatnonzero(new_key), np.cumsum(new_key) - 1
+    forms, entries = np.bincount(group, weights=new_form), np.bincount(group)
+    repeated = (forms == 1) & ((entries > 1) | np.logical_or.reduceat(several[order], starts))
+    kind = np.empty(len(order), np.int8)
+    kind[order] = np.where(forms > 1, 2, repeated)[group]
+    smallest = np.empty(len(order), np.int64)
+    smallest[order] = np.minimum.reduceat(least[order], starts)[group]
+    bucket, rows, at = table.column("bucket")[0].as_py(), [], 0
+    for block, p in zip(table.column("block").to_pylist(), parts, strict=True):
+        mine = slice(at, at + len(p[4]))
+        at += len(p[4])
+        alone, wanted = np.flatnonzero(kind[mine] == 1), np.flatnonzero(kind[mine] == 2)
+        if len(alone) or len(wanted):
+            payload = packed(packed_keys(alone), planes(smallest[mine][alone]), packed_keys(wanted))
+            rows.append((bucket, block, "answer", payload))
     return _table(rows, _ROW)
 
 
-def _passages(block: Block, at: np.ndarray, h: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of the ``chosen`` anchors."""
+def _passages(block: Block, at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of each anchor."""
     document = np.searchsorted(block.bounds, at, side="right") - 1
     begin, end = block.bounds[document], block.bounds[document + 1]
     small = h >> U64(32)
     low = np.maximum(begin, at - (WINDOWS - 1))
     high = np.minimum(end - MIN_BYTES, at)
     for sign in (-1, 1):
-        todo = np.flatnonzero(chosen)
+        todo = np.arange(len(at))
         for step in range(1, WINDOWS + 1):
             other = todo + sign * step
             inside = (other >= 0) & (other < len(at))
@@ -193,55 +228,54 @@ def _passages(block: Block, at: np.ndarray, h: np.ndarray, chosen: np.ndarray) -
             else:
                 high[todo[less]] = np.minimum(high[todo[less]], at[other[less]] - WINDOWS)
             todo = todo[~less]
-    first, count = low[chosen], high[chosen] - low[chosen] + 1
-    return first, count
+    return low, high - low + 1
 
 
 def _cut_out(buckets: int):
-    """Step 3: a block's distinct passages for each bucket, and for itself where they occur."""
+    """Step 3: what the answers remove already, a block's distinct passages for each bucket, and where those occur."""
 
     def run(table: pa.Table) -> pa.Table:
         number = table.column("block")[0].as_py()
         kinds = table.column("kind").to_pylist()
-        if "block" not in kinds or "answer" not in kinds:
+        if "answer" not in kinds:
             return _table([], _ROW)
         payload = table.column("payload")
         block = Block.from_bytes(payload[kinds.index("block")].as_py())
-        at = np.cumsum(unpacked(payload[kinds.index("anchors")].as_py())[0], dtype=np.int64)
-        h = hashes_at(block.text, at)
-        to, key = _bucket(h, buckets), _key(h)
-        chosen = np.zeros(len(at), bool)
-        order = np.argsort(to, kind="stable")
-        where = dict(_split(to[order]))
+        forms = Forms(block, np.cumsum(unpacked(payload[kinds.index("anchors")].as_py())[0], dtype=np.int64), buckets)
+        least = np.full(len(forms.key), NO_ID)
+        wanted = np.zeros(len(forms.key), bool)
         for kind, bucket, raw in zip(kinds, table.column("bucket").to_pylist(), payload, strict=True):
             if kind == "answer":
-                mine = order[where[bucket]]
-                chosen[mine] = np.isin(key[mine], unpacked(raw.as_py())[0])
-        first, count = _passages(block, at, h, chosen)
-        some = count > 0
-        first, count, h, to = first[some], count[some], h[chosen][some], to[chosen][some]
-        sizes = count + MIN_BYTES - 1
+                alone, smallest, asked = unpacked(raw.as_py())
+                begin = forms.parts[bucket].start
+                least[begin + unpacked_keys(alone).astype(np.int64)] = from_planes(smallest)
+                wanted[begin + unpacked_keys(asked).astype(np.int64)] = True
+        gone = (least[forms.form] < forms.ids) & (forms.ids != NO_ID)
+        spans = _spans(_covered(len(block.text), forms.first[gone], forms.sizes[gone]))
+        here = wanted[forms.form]
+        first, count, sizes, h, to, ids = (
+            a[here] for a in (forms.first, forms.count, forms.sizes, forms.h, forms.bucket, forms.ids)
+        )
+        del forms
         rows = _rows_at(block.text, first, sizes)
-        document = np.searchsorted(block.bounds, first, side="right") - 1
-        ids = block.ids[document]
-        digest = _digest(rows, sizes)
-        order = np.lexsort((digest, h, to))
+        order = np.lexsort((_digest(rows, sizes), h, to))
         fresh = _fresh(to[order], h[order], sizes[order], rows[order])
         starts = np.flatnonzero(fresh)
         ordinal = np.cumsum(fresh) - 1
-        least = np.minimum.reduceat(ids[order], starts) if len(starts) else ids
+        smallest = np.minimum.reduceat(ids[order], starts) if len(starts) else ids
         keep = order[starts]
         out = []
         bucket_first = np.zeros(len(starts), np.int64)
-        for b, s in _split(to[keep]):
+        for b, s in runs(to[keep]):
             mine = keep[s]
-            out.append((b, number, "passages", packed(h[mine], sizes[mine].astype(np.uint8), rows[mine].reshape(-1), least[s])))
+            out.append((b, number, "passages", packed(h[mine], sizes[mine].astype(np.uint8), rows[mine].reshape(-1), planes(smallest[s]))))
             bucket_first[s] = s.start
         occurs = packed(
+            *(x.astype(np.uint32) for x in spans),
             first[order].astype(np.uint32),
             count[order].astype(np.uint8),
             to[order].astype(np.uint32),
-            (ordinal - bucket_first[ordinal]).astype(np.uint32) if len(order) else ordinal.astype(np.uint32),
+            (ordinal - bucket_first[ordinal]).astype(np.uint32),
         )
         out.append((-1, number, "occurs", occurs))
         return _table(out, _ROW)
@@ -249,6 +283,20 @@ def _cut_out(buckets: int):
     return run
 
 
+def _covered(n: int, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which of ``n`` bytes lie in one of the stretches."""
+    change = np.zeros(n + 1, np.int32)
+    np.add.at(change, first, 1)
+    np.add.at(change, first + sizes, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _spans(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
+    return edges[::2], edges[1::2] - edges[::2]
+
+
 def _rows_at(text: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Passages as rows of fixed width, zeros behind their ends."""
     padded = np.concatenate([text, np.zeros(PASSAGE_BYTES, np.uint8)])
@@ -289,7 +337,7 @@ def _classify(table: pa.Table) -> pa.Table:
     h = np.concatenate([p[0] for p in parts])
     sizes = np.concatenate([p[1] for p in parts]).astype(np.int64)
     rows = np.concatenate([p[2] for p in parts]).reshape(-1, PASSAGE_BYTES)
-    ids = np.concatenate([p[3] for p in parts])
+    ids = np.concatenate([from_planes(p[3]) for p in parts])
     order = np.lexsort((_digest(rows, sizes), h))
     fresh = _fresh(h[order], sizes[order], rows[order])
     starts = np.flatnonzero(fresh)
@@ -313,14 +361,14 @@ def _classify(table: pa.Table) -> pa.Table:
         mine = form[start : start + n]
         start += n
         odd = np.flatnonzero(uneven[mine])
-        out.append((bucket, block, "classes", packed(windows[mine, 0], odd.astype(np.uint32), windows[mine[odd]].reshape(-1))))
+        out.append((bucket, block, "classes", packed(planes(windows[mine, 0]), odd.astype(np.uint32), windows[mine[odd]].reshape(-1))))
     return _table(out, _ROW)
 
 
 def _runs_of_anchors(anchor: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
     """Whole anchors, taken together up to ``TRANSFORM_BYTES``."""
     begin, total = 0, 0
-    for _, run in _split(anchor):
+    for _, run in runs(anchor):
         more = int(sizes[run].sum())
         if total and total + more > TRANSFORM_BYTES:
             yield slice(begin, run.start)
@@ -332,31 +380,32 @@ def _runs_of_anchors(anchor: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
 
 def _removed(block: Block, kinds: list, buckets: list, payloads: pa.ChunkedArray) -> np.ndarray:
     """Step 5: which bytes of a block go."""
-    change = np.zeros(len(block.text) + 1, np.int32)
-    if "occurs" in kinds:
-        first, count, to, ordinal = unpacked(payloads[kinds.index("occurs")].as_py())
-        owner = block.ids[np.searchsorted(block.bounds, first, side="right") - 1]
-        owner = np.where(owner == NO_ID, np.iinfo(np.int64).min, owner)
-        where = dict(_split(to))
-        for kind, bucket, raw in zip(kinds, buckets, payloads, strict=True):
-            if kind != "classes":
-                continue
-            even, odd, windows = unpacked(raw.as_py())
-            mine = where[bucket]
-            of = ordinal[mine].astype(np.int64)
-            at, n, own = first[mine].astype(np.int64), count[mine].astype(np.int64), owner[mine]
-            index = np.full(len(even), -1)
-            index[odd] = np.arange(len(odd))
-            whole = (index[of] < 0) & (even[of] < own)
-            np.add.at(change, at[whole], 1)
-            np.add.at(change, at[whole] + n[whole] + MIN_BYTES - 1, -1)
-            windows = windows.reshape(-1, WINDOWS)
-            mixed = np.flatnonzero(index[of] >= 0)
-            hit = (windows[index[of[mixed]]] < own[mixed, None]) & (np.arange(WINDOWS)[None, :] < n[mixed, None])
-            j, window = np.nonzero(hit)
-            np.add.at(change, at[mixed[j]] + window, 1)
-            np.add.at(change, at[mixed[j]] + window + MIN_BYTES, -1)
-    return np.cumsum(change[:-1]) > 0
+    if "occurs" not in kinds:
+        return np.zeros(len(block.text), bool)
+    span, length, first, count, to, ordinal = unpacked(payloads[kinds.index("occurs")].as_py())
+    starts, sizes = [span.astype(np.int64)], [length.astype(np.int64)]
+    owner = block.ids[np.searchsorted(block.bounds, first, side="right") - 1]
+    owner = np.where(owner == NO_ID, np.iinfo(np.int64).min, owner)
+    where = dict(runs(to))
+    for kind, bucket, raw in zip(kinds, buckets, payloads, strict=True):
+        if kind != "classes":
+            continue
+        even, odd, windows = unpacked(raw.as_py())
+        even, windows = from_planes(even), windows.reshape(-1, WINDOWS)
+        mine = where[bucket]
+        of = ordinal[mine].astype(np.int64)
+        at, n, own = first[mine].astype(np.int64), count[mine].astype(np.int64), owner[mine]
+        index = np.full(len(even), -1)
+        index[odd] = np.arange(len(odd))
+        whole = (index[of] < 0) & (even[of] < own)
+        starts.append(at[whole])
+        sizes.append(n[whole] + MIN_BYTES - 1)
+        mixed = np.flatnonzero(index[of] >= 0)
+        hit = (windows[index[of[mixed]]] < own[mixed, None]) & (np.arange(WINDOWS)[None, :] < n[mixed, None])
+        j, window = np.nonzero(hit)
+        starts.append(at[mixed[j]] + window)
+        sizes.append(np.full(len(j), MIN_BYTES))
+    return _covered(len(block.text), np.concatenate(starts), np.concatenate(sizes))
 
 
 def _block_of(table: pa.Table) -> tuple[Block, np.ndarray]:
@@ -424,13 +473,15 @@ def _marked(documents: DataFrame, scratch: Scratch, keep_rest: bool) -> DataFram
         blocks.mapInArrow(_announce(buckets), _ROW_SQL).groupBy("bucket").applyInArrow(_answer, _ROW_SQL), "answers"
     )
     passages = scratch.keep(
-        texts.union(anchors).union(answers).groupBy("block").applyInArrow(_cut_out(buckets), _ROW_SQL), "passages"
+        texts.union(anchors).union(answers).groupBy("block").applyInArrow(_cut_out(buckets), _ROW_SQL), "passages", by="kind"
     )
     scratch.drop("answers")
     classes = scratch.keep(
         passages.where("kind = 'passages'").groupBy("bucket").applyInArrow(_classify, _ROW_SQL), "classes"
     )
-    return texts.union(passages.where("kind = 'occurs'")).union(classes)
+    scratch.drop("passages/kind=passages")
+    occurs = passages.where("kind = 'occurs'").select(*_ROW.names)
+    return texts.union(occurs).union(classes)
 
 
 def repeated_bytes(documents: DataFrame, scratch: Scratch) -> DataFrame:
