@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from skyfold.llm import token_files
+from skyfold.llm.token_files import Encoder, Shard, encoder_of, read_document, read_token_files, write_token_files
+from tests.llm.conftest import prose
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+TEXTS = [
+    None,
+    "",
+    " ",
+    "Hello, World! it's 'quoted' don't...",
+    "a.'s b'. c'll, x..'re (y) [z]--w",
+    "ÉCOLE ﬁ İstanbul ΣΑΣ ß é é ŉ ª",
+    "tabs\tand\x0bother\x0c\r\nbreaks  \x85\x1cends",
+    "numbers 12345 3.14 a1b2",
+    "<|endoftext|> and <|ENDOFTEXT|> <|startoftext|>x",
+    "😀😀 emoji, 漢字かな 한국어 हिन्दी",
+    "\x00\x01 control",
+    "a" * 5000,
+    prose(1, 5000),
+]
+
+
+def definition(path=PATH):
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_equals_the_tokenizer(file):
+    path = public_tokenizers.path(file)
+    plain, encoder = Tokenizer.from_file(path), Encoder(definition(path))
+    texts = [t or "" for t in TEXTS]
+    for t, raw in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert np.frombuffer(raw, encoder.type).tolist() == plain.encode(t, add_special_tokens=False).ids, t[:40]
+
+
+def test_a_full_memory_is_emptied(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 50)
+    texts = [prose(i, 120).encode() for i in range(200)]
+    assert Encoder(definition()).encode(texts) == encoder_of(definition()).encode(texts)
+
+
+def test_round_trip(spark, documents, scratch, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 2000)
+    rows = [(i * 3 - 5, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (7, "twice"), (7, "twice")]
+    rows += [(100 + i, prose(i, 40)) for i in range(200)]
+    docs = documents(rows, 5).withColumnRenamed("lang", "image")
+    path = scratch.path("tokens")
+    write_token_files(docs, path, definition())
+    plain = Tokenizer.from_file(PATH)
+    expected, start = [], 0
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 2]
+        expected.append((i, start, len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in read_token_files(spark, path).collect()]
+    assert sorted(got, key=lambda r: r[1]) == sorted(expected, key=lambda r: r[1])
+    assert spark.read.parquet(f"{path}/shards").count() > 5
+    (ids,) = read_document(spark, path, 150)
+    assert ids.tolist() == [*plain.encode(prose(50, 40), add_special_tokens=False).ids, 2]
+    assert len(read_document(spark, path, 7)) == len([r for r in rows if r[0] == 7]) and read_document(spark, path, 99_999) == []
+
+
+def test_empty_tables_and_other_dictionaries(spark, documents, scratch):
+    path = scratch.path("tokens")
+    write_token_files(documents([(1, "")]).limit(0), path, definition())
+    assert read_token_files(spark, path).isEmpty()
+    write_token_files(documents([(1, "some words")]), scratch.path("other"), definition())
+    image = bytes(spark.read.parquet(scratch.path("other") + "/shards").first()["image"])
+    with pytest.raises(ValueError, match="dictionary"):
+        Shard(image, b"another")
