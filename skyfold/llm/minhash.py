@@ -7,8 +7,9 @@ concentration of independent samples. With 40 bands of 5 coordinates a pair at s
 probability 1e-7.
 
 Equal sets first become one class, represented by its smallest id. In each band bucket the smallest representative is compared
-with the others: a star, not all pairs. Links give components; only members of a bucket that are in different components still are
-compared with those of the others. Pairs are confirmed on the full sets, rebuilt from whole texts in the task that compares them.
+with the others: a star, not all pairs. Links give components. Members of a bucket that are in different components still are
+compared too; in a bucket of more than a few, only those that share one of their rarest shingles early enough to be similar, which
+no similar pair fails to do. Pairs are confirmed on the full sets, rebuilt from whole texts in the task that compares them.
 So documents of one component of a bucket need no comparison, and no link between components is lost.
 
 Nulls and odd cases: a null or blank text has an empty set and is linked with nothing. A document without id takes no part: its
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import Scratch
@@ -36,6 +37,9 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 40, 5
 
+#: Members of a bucket up to which those of different components are compared at once; larger ones are filtered first.
+SMALL_BUCKET = 32
+
 #: Texts hashed together, in bytes.
 SLICE_BYTES = 1 << 20
 
@@ -231,6 +235,60 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _across(rows: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of different labels that meet under a ``key`` and can still be similar.
+
+    ``place`` counts the shingles of a set that come before the key in an order common to all sets, so at most ``n - place`` are
+    shared. Only rows outside a key's most frequent label look for partners: those inside are linked already.
+    """
+    main = (
+        rows.groupBy("key", "label")
+        .agg(F.count(F.lit(1)).alias("members"))
+        .groupBy("key")
+        .agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+        .where("labels > 1")
+        .select("key", "main")
+    )
+    met = rows.join(main, "key")
+    others = met.where("label != main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "label", "place")])
+    most = F.least(F.col("n") - F.col("place"), F.col("x_n") - F.col("x_place"))
+    return (
+        met.join(others, "key")
+        .where("x_label != label and (label = main or x_rep < rep)")
+        .where((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("x_n")))
+        .select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b"))
+        .distinct()
+    )
+
+
+def _first_shingles(reps: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """Of each set in ``reps`` the shingles of which a similar set must share one: the rarest, with their places.
+
+    Shingles are ordered by how many of these sets hold them. The first common shingle of two similar sets comes early in both,
+    or what is left is too little. A copy with many edits of its own starts with those and so meets no other.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for rep, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held = shingle_sets([reader.decompress(text.as_py())], k)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), rep)), pa.array(held.view(np.int64))], names=["rep", "key"])
+
+    held = (
+        texts.select(F.col("doc_id").alias("rep"), "packed").join(reps.select("rep"), "rep", "left_semi").mapInArrow(run, "rep long, key long")
+    )
+    order = Window.partitionBy("rep").orderBy("sets", "key")
+    return (
+        held.join(held.groupBy("key").agg(F.count(F.lit(1)).alias("sets")), "key")
+        .withColumn("place", F.row_number().over(order) - 1)
+        .where("sets > 1")
+        .join(reps, "rep")
+        .where(100 * F.col("place") <= (100 - PERCENT) * F.col("n"))
+        .select("key", "rep", "n", "label", "place")
+    )
+
+
 def near_duplicates(documents: DataFrame, scratch: Scratch, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each document; a component keeps its smallest id."""
     k = shingle_words
@@ -265,26 +323,16 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, shingle_words: int =
         buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")),
         "labelled",
     )
-    main = (
-        labelled.groupBy("key", "label")
-        .agg(F.count(F.lit(1)).alias("members"))
-        .groupBy("key")
-        .agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-        .where("labels > 1")
-        .select("key", "main")
-    )
-    mixed = labelled.join(main, "key")
-    others = mixed.where("label != main").select(
-        "key", F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("label").alias("x_label")
-    )
-    across = (
-        mixed.select("key", F.col("rep").alias("y"), F.col("n").alias("y_n"), F.col("label").alias("y_label"), "main", "center")
-        .join(others, "key")
-        .where("x_label != y_label and (y_label = main or x < y) and x != center and y != center")
-        .where(_may_link("x_n", "y_n"))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    sizes = (
+        labelled.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("least"), F.max("label").alias("most"))
+        .where("least < most")
+        .select("key", "members")
     )
+    mixed = scratch.keep(labelled.join(sizes, "key").select("key", "rep", "n", "label", "members"), "mixed")
+    small = mixed.where(F.col("members") <= SMALL_BUCKET).withColumn("place", F.lit(0)).drop("members")
+    large = mixed.where(F.col("members") > SMALL_BUCKET).select("rep", "n", "label").distinct()
+    across = _across(small).union(_across(_first_shingles(large, texts, k))).distinct()
     across = scratch.keep(across, "across")
     if not across.isEmpty():
         links = links.union(scratch.keep(confirmed(across, texts, k), "across-links"))
