@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.blocks import NO_ID, Block, as_blocks, packed, unpacked
+from skyfold.llm.blocks import NO_ID, Block, as_blocks, packed, packed_keys, runs, unpacked, unpacked_keys
 from skyfold.llm.common import Scratch, shuffle_partitions
 from skyfold.llm.minhash import mix, word_hashes
 
@@ -32,6 +32,8 @@ ORDER = 3
 BACKOFF = 0.4
 UNSEEN = 0.5
 SLICE_BYTES = 1 << 20
+#: Text bytes of a block; larger ones combine more n-grams and take about 50 times as much memory in a task.
+BLOCK_BYTES = 4 << 20
 
 U64 = np.uint64
 _ROW = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("kind", pa.string()), ("payload", pa.binary())])
@@ -72,17 +74,18 @@ class Asked:
     def __init__(self, block: Block, buckets: int) -> None:
         self.words, self.owner = block_words(block)
         self.grams = ngrams(self.words, self.owner)
-        found, self.which, self.counts = np.unique(
-            np.concatenate([h for _, h in self.grams]), return_inverse=True, return_counts=True
-        )
+        # Order by order, which bounds the memory of sorting.
+        parts = [np.unique(h, return_inverse=True, return_counts=True) for _, h in self.grams]
+        first = np.cumsum([0] + [len(f) for f, _, _ in parts])
+        self.which = np.concatenate([w.astype(np.int32) + np.int32(a) for (_, w, _), a in zip(parts, first, strict=False)])
+        self.counts = np.concatenate([c.astype(np.uint32) for _, _, c in parts])
+        found = np.concatenate([f for f, _, _ in parts])
+        del parts
         bucket = ((found * U64(0xFF51AFD7ED558CCD)) >> U64(40)) % U64(buckets)
         self.order = np.argsort(bucket.astype(np.uint32), kind="stable")
         self.keys = found[self.order] >> U64(16)
         bucket = bucket[self.order].astype(np.int64)
-        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
-        self.parts = {
-            int(bucket[a]): slice(a, b) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True)
-        }
+        self.parts = dict(runs(bucket))
 
 
 def _table(rows: list[tuple]) -> pa.Table:
@@ -94,12 +97,13 @@ def _ask(buckets: int):
         for batch in batches:
             for number, raw in zip(batch.column("block").to_pylist(), batch.column("payload"), strict=True):
                 asked = Asked(Block.from_bytes(raw.as_py()), buckets)
-                counts = asked.counts[asked.order].astype(np.uint32)
-                rows = [
-                    (b, number, "ask", packed((asked.keys[s] & U64(0xFFFFFFFF)).astype(np.uint32), (asked.keys[s] >> U64(32)).astype(np.uint16), counts[s]))
-                    for b, s in asked.parts.items()
-                ]
-                yield from _table(rows).to_batches()
+                counts = asked.counts[asked.order]
+                for b, s in asked.parts.items():
+                    # Within a bucket the n-grams of one order ascend, and then those of the next.
+                    key, count = asked.keys[s], counts[s]
+                    order = np.argsort(key, kind="stable")
+                    yield from _table([(b, number, "ask", packed(packed_keys(key[order]), count[order]))]).to_batches()
+                del asked, counts
 
     return run
 
@@ -107,14 +111,14 @@ def _ask(buckets: int):
 def _count(table: pa.Table) -> pa.Table:
     """The count table of a bucket, joined with what each block asked for, in the order it asked."""
     parts = [unpacked(p.as_py()) for p in table.column("payload")]
-    keys = np.concatenate([low.astype(U64) | (high.astype(U64) << U64(32)) for low, high, _ in parts])
+    keys = np.concatenate([unpacked_keys(k) for k, _ in parts])
     _, which = np.unique(keys, return_inverse=True)
-    totals = np.bincount(which, weights=np.concatenate([c for _, _, c in parts]))
+    totals = np.bincount(which, weights=np.concatenate([c for _, c in parts]))
     bucket, at, rows = table.column("bucket")[0].as_py(), 0, []
-    for block, (low, _, _) in zip(table.column("block").to_pylist(), parts, strict=True):
-        mine = totals[which[at : at + len(low)]]
+    for block, (_, counts) in zip(table.column("block").to_pylist(), parts, strict=True):
+        mine = totals[which[at : at + len(counts)]]
         rows.append((bucket, block, "totals", packed(mine.astype(np.uint32 if mine.max() < 1 << 32 else np.uint64))))
-        at += len(low)
+        at += len(counts)
     return _table(rows)
 
 
@@ -126,7 +130,9 @@ def _score(buckets: int, corpus_words: int):
         totals = np.zeros(len(asked.order))
         for kind, bucket, raw in zip(kinds, table.column("bucket").to_pylist(), table.column("payload"), strict=True):
             if kind == "totals":
-                totals[asked.order[asked.parts[bucket]]] = unpacked(raw.as_py())[0]
+                mine = asked.parts[bucket]
+                order = np.argsort(asked.keys[mine], kind="stable")
+                totals[asked.order[mine][order]] = unpacked(raw.as_py())[0]
         n, owner = len(asked.words), asked.owner
         others, at = [], 0
         for last, h in asked.grams:
@@ -173,7 +179,7 @@ def backoff_scores(documents: DataFrame, scratch: Scratch) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(words, pa.int64())], names=["block", "payload", "words"])
 
     blocks = scratch.keep(
-        as_blocks(documents, keep_rest=False).mapInArrow(counted, "block long, payload binary, words long"), "blocks"
+        as_blocks(documents, BLOCK_BYTES, keep_rest=False).mapInArrow(counted, "block long, payload binary, words long"), "blocks"
     )
     corpus_words = blocks.agg(F.sum("words")).first()[0] or 0
     totals = scratch.keep(
