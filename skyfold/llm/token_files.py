@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -54,7 +54,7 @@ CACHE_WORDS = 1_000_000
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 SHARD_SCHEMA = (
-    "part int, shard int, first_doc long, last_doc long, documents long, tokens long, dictionary string, image binary"
+    "part int, shard int, first_doc long, last_doc long, documents long, tokens long, before long, dictionary string, image binary"
 )
 
 
@@ -214,12 +214,10 @@ def write_token_files(documents: DataFrame, path: str, definition: str, end_id:
     spark = documents.sparkSession
     ship_code(spark)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = (
-        texts.select("doc_id", F.substring("text", 1, SAMPLE_CHARACTERS).alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(SAMPLE_DOCUMENTS)
-        .collect()
-    )
+    # Hashes first: of each task the driver gets so many numbers, not so many texts.
+    hashes = texts.select(F.xxhash64("doc_id").alias("hash")).orderBy("hash").limit(SAMPLE_DOCUMENTS).collect()
+    chosen = texts.where(F.xxhash64("doc_id") <= (hashes[-1]["hash"] if hashes else 0)).limit(SAMPLE_DOCUMENTS)
+    sample = chosen.select(F.substring("text", 1, SAMPLE_CHARACTERS).alias("text")).collect()
     encoder = encoder_of(definition)
     dictionary = train_dictionary(encoder.encode([r["text"].encode() for r in sample])) if sample else b""
     digest = hashlib.sha256(dictionary)
@@ -235,7 +233,7 @@ def write_token_files(documents: DataFrame, path: str, definition: str, end_id:
         digest = hashlib.sha256(dictionary).digest()
         writer = zstandard.ZstdCompressor(level=3, dict_data=dictionary_of(dictionary) if dictionary else None)
         end = np.asarray([end_id], encoder.type).tobytes()
-        part, number, size = TaskContext.get().partitionId(), 0, 0
+        part, number, size, before = TaskContext.get().partitionId(), 0, 0, 0
         ids: list = []
         frames: list[bytes] = []
         tokens: list[int] = []
@@ -249,6 +247,7 @@ def write_token_files(documents: DataFrame, path: str, definition: str, end_id:
                 "last_doc": max(some, default=None),
                 "documents": len(ids),
                 "tokens": sum(tokens),
+                "before": before,
                 "dictionary": digest.hex(),
                 "image": shard_image(ids, frames, tokens, digest, encoder.width, end_id),
             }
@@ -266,6 +265,7 @@ def write_token_files(documents: DataFrame, path: str, definition: str, end_id:
                     size += len(frame)
                     if size >= SHARD_BYTES or len(ids) >= SHARD_DOCUMENTS:
                         yield shard()
+                        before += sum(tokens)
                         number, size = number + 1, 0
                         ids, frames, tokens = [], [], []
         if ids:
@@ -279,6 +279,7 @@ def write_token_files(documents: DataFrame, path: str, definition: str, end_id:
             ("last_doc", pa.int64()),
             ("documents", pa.int64()),
             ("tokens", pa.int64()),
+            ("before", pa.int64()),
             ("dictionary", pa.string()),
             ("image", pa.binary()),
         ]
@@ -304,8 +305,8 @@ def stored_dictionary(spark: SparkSession, path: str) -> bytes:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every stored document, from its decompressed ids.
 
-    ``start`` counts the ids of all documents before it: those of earlier parts, summed on the driver for each part, those of
-    earlier shards of its part, and those before it in its shard.
+    ``start`` counts the ids of all documents before it: those of earlier parts, of which the driver gets one sum each, those
+    of earlier shards of its part, which each shard notes, and those before it in its shard.
     """
     ship_code(spark)
     shared = spark.sparkContext.broadcast(stored_dictionary(spark, path))
@@ -316,13 +317,6 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         before.append((r["part"], total))
         total += r["tokens"]
     parts = spark.createDataFrame(before, "part int, part_start long")
-    earlier = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        shards.select("part", "shard", "tokens")
-        .withColumn("shard_start", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
-        .join(F.broadcast(parts), "part")
-        .select("part", "shard", (F.col("part_start") + F.col("shard_start")).alias("start"))
-    )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,9 +339,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     return (
-        shards.select("part", "shard", "image")
-        .join(starts, ["part", "shard"])
-        .select("start", "image")
+        shards.select("part", "before", "image")
+        .join(F.broadcast(parts), "part")
+        .select((F.col("part_start") + F.col("before")).alias("start"), "image")
         .mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )
 
