@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes after which a block ends; a longer document is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 
 NO_ID = np.iinfo(np.int64).max
 

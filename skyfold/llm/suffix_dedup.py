@@ -456,7 +456,7 @@ def _cleaner(columns: list[str], target: pa.Schema):
 
 def _marked(documents: DataFrame, scratch: Scratch, keep_rest: bool) -> DataFrame:
     """Rows of blocks, of where their passages occur, and of the passages' classes: what step 5 needs of each block."""
-    buckets = shuffle_partitions(documents.sparkSession)
+    buckets = 2 * shuffle_partitions(documents.sparkSession)
 
     def with_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
