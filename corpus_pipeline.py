@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyfold.llm.common import Scratch, table
+from skyfold.llm.common import Scratch, in_written_order, table
 from skyfold.llm.minhash import without_near_duplicates
 from skyfold.llm.mixing import mixed_order
 from skyfold.llm.packing import pack
@@ -33,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents into bins of fixed length."""
-    return pack(docs, Scratch(spark, "packing"))
+    """Packs the documents into bins of fixed length; only documents near each other in the mixture share bins."""
+    return pack(in_written_order(docs, "mixed_at"), Scratch(spark, "packing"), position=F.col("mixed_at"))
 
 
 STAGES = [

@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
@@ -32,6 +33,28 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_written_order(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` with a column ``name``: the place of each row, from 0, in the order in which its table was written.
+
+    Spark reads files in any order, so the place comes from the number in a file's name and the row's index in the file. A frame
+    that is not read from files has its partitions in order; there places have gaps.
+    """
+    file, number = F.col("_metadata.file_name"), F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+    try:
+        placed = frame.withColumns({"__file": file, "__number": F.try_to_number(number, F.lit("9" * 18)), name: F.col("_metadata.row_index")})
+    except AnalysisException:
+        return frame.withColumn(name, F.monotonically_increasing_id())
+    starts = (
+        placed.groupBy("__file", "__number")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__before", F.sum("__n").over(Window.orderBy("__number", "__file")) - F.col("__n"))
+        .select("__file", "__before")
+    )
+    return (
+        placed.join(F.broadcast(starts), "__file").withColumn(name, F.col(name) + F.col("__before")).drop("__file", "__number", "__before")
+    )
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give the executors this package, once for each application."""
     context = spark.sparkContext

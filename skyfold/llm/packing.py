@@ -1,7 +1,7 @@
 """Best-fit packing of documents into bins of fixed length, without conflicts inside a bin.
 
-A document longer than a bin is cut into full pieces and a rest. Pieces are dealt by hash into groups of bounded size, and each
-group is packed by itself, largest piece first. Its open bins are ordered by what they have left; every bin carries a bitmap
+A document longer than a bin is cut into full pieces and a rest. Pieces are dealt into groups of bounded size, by hash or, if
+documents have positions, as consecutive stretches of these; each group is packed by itself, largest piece first. Its open bins are ordered by what they have left; every bin carries a bitmap
 of the sources and one of the duplicate clusters it holds. A piece takes the bin with the least sufficient rest; when its
 source or cluster is there already, the search goes on to the successor until the tightest compatible bin is found, or a new
 bin is opened.
@@ -18,7 +18,7 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import Scratch, words_of
@@ -98,6 +98,30 @@ def pack_group(lengths: list[int], sources: list, clusters: list, capacity: int)
     return out
 
 
+def _by_hash(pieces: DataFrame, group_pieces: int) -> DataFrame:
+    """``pieces`` with ``group`` and ``order``: groups of about ``group_pieces``."""
+    groups = max(1, ceil(pieces.count() / group_pieces))
+    order = F.xxhash64("doc_id", "piece")
+    return pieces.withColumn("order", order).withColumn("group", F.pmod(order, F.lit(groups)).cast("int"))
+
+
+def _by_position(pieces: DataFrame, group_pieces: int) -> DataFrame:
+    """``pieces`` with ``group`` and ``order``: each ``group_pieces`` that follow each other by position are a group.
+
+    Pieces are numbered inside stretches of positions, so none of the sorts sees more than one stretch.
+    """
+    pieces = pieces.withColumn("stretch", F.floor(F.col("position") / group_pieces))
+    starts = (
+        pieces.groupBy("stretch")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("before", F.sum("n").over(Window.orderBy("stretch")) - F.col("n"))
+        .drop("n")
+    )
+    nth = F.row_number().over(Window.partitionBy("stretch").orderBy("position", "piece")) - 1
+    numbered = pieces.withColumn("nth", nth).join(starts, "stretch").withColumn("nth", F.col("before") + F.col("nth"))
+    return numbered.withColumn("order", F.col("position")).withColumn("group", F.floor(F.col("nth") / group_pieces).cast("int"))
+
+
 def pack(
     documents: DataFrame,
     scratch: Scratch,
@@ -105,26 +129,30 @@ def pack(
     cluster: Column | None = None,
     capacity: int = CAPACITY,
     group_pieces: int = GROUP_PIECES,
+    position: Column | None = None,
 ) -> DataFrame:
     """``doc_id, piece, length, bin_id, place`` for every piece; ``place`` counts the pieces of a bin.
 
-    ``length`` defaults to the number of words, ``cluster`` to the text itself, by its hash.
+    ``length`` defaults to the number of words, ``cluster`` to the text itself, by its hash. With a ``position`` of each
+    document only pieces that follow each other in that order share bins, and ``bin_id`` ascends with it from group to group.
     """
     length = F.size(words_of(F.col("text"))) if length is None else length
     cluster = F.when(F.length("text") > 0, F.xxhash64("text")) if cluster is None else cluster
-    items = documents.select("doc_id", "source", length.cast("long").alias("whole"), cluster.alias("cluster"))
+    at = F.lit(None) if position is None else position
+    items = documents.select(
+        "doc_id", "source", length.cast("long").alias("whole"), cluster.alias("cluster"), at.cast("long").alias("position")
+    )
     pieces = items.withColumn(
         "piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("whole") / capacity).cast("int") - 1)))
     ).select(
         "doc_id",
         "source",
         "cluster",
+        "position",
         "piece",
         F.least(F.lit(capacity), F.col("whole") - F.col("piece") * capacity).cast("int").alias("length"),
     )
     pieces = scratch.keep(pieces, "pieces")
-    groups = max(1, ceil(pieces.count() / group_pieces))
-
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
         group = int(rows["group"].iloc[0])
         rows = rows.sort_values(["length", "order", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
@@ -135,6 +163,5 @@ def pack(
         out["place"] = out.groupby("bin_id").cumcount()
         return out
 
-    order = F.xxhash64("doc_id", "piece")
-    dealt = pieces.withColumn("order", order).withColumn("group", F.pmod(order, F.lit(groups)).cast("int"))
+    dealt = _by_hash(pieces, group_pieces) if position is None else _by_position(pieces, group_pieces)
     return dealt.groupBy("group").applyInPandas(packed, PACKED)

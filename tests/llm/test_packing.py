@@ -3,8 +3,12 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from skyfold.llm.packing import pack, pack_group
+import corpus_pipeline
+from skyfold.llm.common import Scratch, in_written_order
+from skyfold.llm.mixing import mixed_order
+from skyfold.llm.packing import GROUP_PIECES, pack, pack_group
 from tests.llm.conftest import prose
 
 
@@ -67,3 +71,43 @@ def test_nulls_repeats_long_texts_and_empty_tables(spark, documents, scratch):
     assert len({r["bin_id"] for r in got if r["doc_id"] == 2}) == 2
     scratch.drop("pieces")
     assert pack(docs.limit(0), scratch).isEmpty()
+
+
+def test_groups_are_stretches_of_the_positions(documents, scratch):
+    docs = documents([(i, "w " * (1 + i * 7 % 250), f"s{i % 9}") for i in range(300)])
+    got = pack(docs, scratch, capacity=100, group_pieces=40, position=-F.col("doc_id") + 1000).collect()
+    order = sorted(got, key=lambda r: (-r["doc_id"], r["piece"]))
+    groups = [r["bin_id"] >> 32 for r in order]
+    assert groups == [k // 40 for k in range(len(got))] and len(got) > 400
+
+
+def test_the_mixture_decides_what_is_packed_together(spark, documents):
+    docs = documents([(i, f"w{i} " * 300, f"s{i % 3}") for i in range(240)])
+
+    def together(weights):
+        scratch = Scratch(spark, "mixture")
+        mixed = in_written_order(scratch.keep(mixed_order(docs, weights), "mixed"), "at")
+        bins = {}
+        for r in pack(mixed, scratch, group_pieces=30, position=F.col("at")).collect():
+            bins.setdefault(r["bin_id"], set()).add(r["doc_id"])
+        return {frozenset(b) for b in bins.values()}
+
+    early, even = {"s0": 0.8, "s1": 0.1, "s2": 0.1}, {"s0": 0.4, "s1": 0.3, "s2": 0.3}
+    assert together(early) == together(early) != together(even)
+
+
+def test_the_pipeline_packs_stretches_of_the_mixture(spark, documents, scratch):
+    docs = documents([(i, "a", f"s{i % 4}") for i in range(GROUP_PIECES + 1000)])
+    mixed = scratch.keep(corpus_pipeline.mix_sources(spark, docs, ""), "mixed")
+    order = [r["doc_id"] for r in mixed_order(docs).select("doc_id").collect()]
+    group = {r["doc_id"]: r["bin_id"] >> 32 for r in corpus_pipeline.pack_documents(spark, mixed, "").collect()}
+    assert [group[i] for i in order] == [0] * GROUP_PIECES + [1] * 1000
+
+
+def test_places_are_those_of_the_written_table(spark, scratch):
+    kept = scratch.keep(spark.range(5000, 0, -1, 7).selectExpr("id", "5000 - id as wanted"), "numbers")
+    found = in_written_order(kept, "place")
+    assert found.columns == ["id", "wanted", "place"] and found.count() == 5000
+    assert found.where("place <> wanted").isEmpty()
+    held = in_written_order(spark.createDataFrame([(1,), (2,)], "id long"), "place")
+    assert [r["id"] for r in held.orderBy("place").collect()] == [1, 2]
