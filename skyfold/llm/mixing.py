@@ -1,10 +1,11 @@
 """Mixing sources to target weights by proportionate-fair scheduling.
 
-Each source's documents are shuffled by hash and cut into blocks of equally many documents. A target weight of q slots in a
-round of Q gives the source's i-th block (from 0) the release time floor(i * Q / q) and the deadline ceil((i + 1) * Q / q);
-the released block with the earliest deadline takes the next slot. At every slot each source is then less than one block off
-its share. A round repeats, so only one round per phase is scheduled, on the driver: a phase ends when a source has no more
-blocks, and the rest share its weight from there on. Everything else is a broadcast of at most ``MAX_SOURCES`` rows.
+Each source's documents are shuffled by hash and cut into blocks of equally many documents. With a share w of the total weight,
+an exact fraction, the source's i-th block (from 0) has the release time floor(i / w) and the deadline ceil((i + 1) / w); the
+released block with the earliest deadline takes the next slot. At every slot of a phase each source is then less than one block
+off its share, however long the phase. A phase ends when a source has no more blocks; the rest share its weight from there on.
+The schedule needs two numbers a source and goes slot by slot, so the driver makes it: eight bytes for each block. It is
+sent out in parts, by broadcast up to ``BROADCAST_BLOCKS`` blocks and joined on source and part beyond.
 
 Nulls and odd cases: a null source counts as the empty one. Documents with null or repeated ids are kept; equal rows share
 the places that follow each other. Nothing is dropped or repeated. A weight of a source without documents is ignored; a
@@ -14,15 +15,19 @@ source without a weight, or more than ``MAX_SOURCES`` sources, is refused. An em
 from __future__ import annotations
 
 import heapq
-from math import ceil, floor
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+from math import ceil, floor, lcm
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_SOURCES = 1000
-#: Documents in a block, slots in a round, documents that rank in one window.
+#: Documents in a block, blocks in a part of the schedule, blocks that are broadcast, documents that rank in one window.
 BLOCK_DOCUMENTS = 4
-ROUND_SLOTS = 1000
+PART_BLOCKS = 1000
+BROADCAST_BLOCKS = 1_000_000
 CHUNK_DOCUMENTS = 20_000
 #: Target weights are the sources' document counts to this power.
 TEMPERATURE = 0.5
@@ -57,24 +62,60 @@ def earliest_deadline_round(slots: dict[str, int]) -> dict[str, list[int]]:
     return taken
 
 
-def schedule(blocks: dict[str, int], weights: dict[str, float], round_slots: int = ROUND_SLOTS) -> dict[str, list[dict]]:
-    """For each source its phases: blocks ``first`` to ``end`` (excluded) take ``slots`` of each round from slot ``base`` on."""
+def whole_shares(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in the proportions of ``weights``.
+
+    A float that some fraction of a small denominator rounds to stands for it, so 0.1 is a tenth; others, and all if that would
+    give numbers of over 256 bits, are what their bits say.
+    """
+
+    def simple(w: float) -> Fraction:
+        near = Fraction(w).limit_denominator(10_000)
+        return near if float(near) == w else Fraction(w)
+
+    exact = {s: simple(w) for s, w in weights.items()}
+    if lcm(*(w.denominator for w in exact.values())).bit_length() > 256:
+        exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * unit) for s, w in exact.items()}
+
+
+def earliest_deadlines(shares: dict[str, int], left: dict[str, int]) -> Iterator[str]:
+    """The source of slot after slot, until one has none ``left``."""
+    total, done = sum(shares.values()), dict.fromkeys(shares, 0)
+    ready = [(-(-total // q), s) for s, q in shares.items()]
+    heapq.heapify(ready)
+    waiting: list[tuple[int, int, str]] = []
+    slot = 0
+    while True:
+        while waiting and waiting[0][0] <= slot:
+            heapq.heappush(ready, heapq.heappop(waiting)[1:])
+        s = heapq.heappop(ready)[1]
+        yield s
+        done[s] = n = done[s] + 1
+        if n == left[s]:
+            return
+        q = shares[s]
+        heapq.heappush(waiting, (n * total // q, -(-(n + 1) * total // q), s))
+        slot += 1
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float], part_blocks: int = PART_BLOCKS) -> dict[str, list[dict]]:
+    """For each source its parts: blocks ``first`` to ``end`` (excluded) take ``slots``, counted from ``base`` and below ``size``."""
     left = {s: n for s, n in blocks.items() if n > 0}
-    phases: dict[str, list[dict]] = {s: [] for s in left}
-    done, base = dict.fromkeys(left, 0), 0
+    taken, slot = {s: array("q") for s in left}, 0
     while left:
-        taken = earliest_deadline_round(slots_of({s: weights[s] for s in left}, round_slots))
-        size = sum(map(len, taken.values()))
-        length = min(((n - 1) // len(taken[s])) * size + taken[s][(n - 1) % len(taken[s])] + 1 for s, n in left.items())
-        for s in list(left):
-            used = (length // size) * len(taken[s]) + sum(t < length % size for t in taken[s])
-            phases[s].append({"first": done[s], "end": done[s] + used, "base": base, "size": size, "slots": taken[s]})
-            done[s] += used
-            left[s] -= used
-            if not left[s]:
-                del left[s]
-        base += length
-    return phases
+        for s in earliest_deadlines(whole_shares({s: weights[s] for s in left}), left):
+            taken[s].append(slot)
+            slot += 1
+        left = {s: blocks[s] - len(taken[s]) for s in left if blocks[s] > len(taken[s])}
+
+    def part(at: array, first: int) -> dict:
+        slots = at[first : first + part_blocks]
+        relative = array("q", (t - slots[0] for t in slots))
+        return {"first": first, "end": first + len(slots), "base": slots[0], "size": relative[-1] + 1, "slots": relative}
+
+    return {s: [part(at, k) for k in range(0, len(at), part_blocks)] for s, at in taken.items()}
 
 
 def temperature_weights(counts: dict[str, int], power: float = TEMPERATURE) -> dict[str, float]:
@@ -85,7 +126,7 @@ def mix(
     documents: DataFrame,
     weights: dict[str, float] | None = None,
     block_documents: int = BLOCK_DOCUMENTS,
-    round_slots: int = ROUND_SLOTS,
+    part_blocks: int = PART_BLOCKS,
     chunk_documents: int = CHUNK_DOCUMENTS,
 ) -> DataFrame:
     """``documents`` with the columns ``block``, ``slot`` and ``position`` added; ordering by ``position`` gives the mixture.
@@ -107,11 +148,13 @@ def mix(
     weights = weights or temperature_weights(counts)
     if missing := [s for s in counts if not weights.get(s, 0) > 0]:
         raise ValueError(f"no weight for {missing[:5]}")
-    plan = schedule({s: ceil(n / block_documents) for s, n in counts.items()}, weights, round_slots)
-    phases = spark.createDataFrame(
-        [(s, p) for s, p in plan.items()],
-        "source string, phases array<struct<first: long, end: long, base: long, size: long, slots: array<long>>>",
+    blocks = {s: ceil(n / block_documents) for s, n in counts.items()}
+    plan = spark.createDataFrame(
+        [(s, p["first"] // part_blocks, p["base"], p["slots"].tolist()) for s, ps in schedule(blocks, weights, part_blocks).items() for p in ps],
+        "source string, part long, base long, slots array<long>",
     )
+    if sum(blocks.values()) <= BROADCAST_BLOCKS:
+        plan = F.broadcast(plan)
 
     chunks = max(1, ceil(sum(counts.values()) / chunk_documents))
     row = row.withColumn("chunk", F.pmod(F.shiftright("hash", 20), F.lit(chunks)))
@@ -127,19 +170,12 @@ def mix(
         .join(starts, ["source", "chunk"])
         .withColumn("place", F.col("before") + F.col("place"))
         .withColumn("block", F.floor(F.col("place") / block_documents))
-        .join(F.broadcast(phases), "source")
-    )
-    phase = F.filter("phases", lambda p: (F.col("block") >= p["first"]) & (F.col("block") < p["end"]))[0]
-    nth = F.col("block") - F.col("phase.first")
-    per_round = F.size("phase.slots")
-    slot = (
-        F.col("phase.base")
-        + F.floor(nth / per_round) * F.col("phase.size")
-        + F.get(F.col("phase.slots"), F.pmod(nth, per_round).cast("int"))
+        .withColumn("part", F.floor(F.col("block") / part_blocks))
+        .join(plan, ["source", "part"])
     )
+    slot = F.col("base") + F.get("slots", F.pmod("block", F.lit(part_blocks)).cast("int"))
     return (
-        ranked.withColumn("phase", phase)
-        .withColumn("slot", slot)
+        ranked.withColumn("slot", slot)
         .select(
             "row.*",
             "block",

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 from math import ceil
 
 import pytest
@@ -23,6 +24,25 @@ def test_every_source_is_less_than_one_block_off_its_share(seed):
             assert abs(done[s] - (t + 1) * q / 200) < 1
 
 
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"hot": 60_000**0.5, **{f"s{i}": (100 + 7 * i) ** 0.5 for i in range(19)}},
+        {"a": Fraction(1), "b": Fraction(1, 100_000), "c": Fraction(3, 10)},
+        {f"s{i}": Fraction(1, (i + 1) ** 2) for i in range(40)},
+    ],
+)
+def test_unrounded_weights_hold_over_many_rounds(weights):
+    length, total = 30_000, sum(Fraction(w) for w in weights.values())
+    plan = schedule(dict.fromkeys(weights, length), weights, 700)
+    owner = {p["base"] + t: s for s, parts in plan.items() for p in parts for t in p["slots"]}
+    share = {s: Fraction(w) / total for s, w in weights.items()}
+    done, bound = dict.fromkeys(weights, 0), {s: (q.numerator, q.denominator) for s, q in share.items()}
+    for t in range(1, length + 1):
+        done[owner[t - 1]] += 1
+        assert all(abs(done[s] * d - t * n) < d for s, (n, d) in bound.items())
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_each_block_gets_a_slot_of_its_own(seed):
     r = random.Random(seed)
@@ -64,6 +84,13 @@ def test_blocks_stay_together_and_orders_repeat(documents):
     assert len(slots) == sum(ceil(sum(r[2] == s for r in rows(500)) / 4) for s in {r[2] for r in rows(500)})
 
 
+def test_a_schedule_too_large_for_a_broadcast_gives_the_same_places(documents, monkeypatch):
+    docs = documents(rows(500))
+    small = sorted(mix(docs, part_blocks=7).collect(), key=lambda r: r["position"])
+    monkeypatch.setattr("skyfold.llm.mixing.BROADCAST_BLOCKS", 0)
+    assert small == sorted(mix(docs, part_blocks=11).collect(), key=lambda r: r["position"])
+
+
 def test_nulls_repeats_clashes_and_empty_tables(spark, documents):
     docs = documents([(None, None, None), (1, "a", "x"), (1, "a", "x"), (2, "", None), (3, "b", "")])
     odd = docs.withColumnsRenamed({"lang": "chunk", "n_chars": "block_"})
