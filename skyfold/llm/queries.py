@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from skyfold.llm.backoff import backoff_scores
 from skyfold.llm.common import Scratch, table
+from skyfold.llm.decomposition import pack_by_length
 from skyfold.llm.license_scan import scan_licenses
 from skyfold.llm.minhash import QUERY_SHINGLE_WORDS, near_duplicates
 from skyfold.llm.mixing import mixed_places
 from skyfold.llm.nn_descent import nearest
 from skyfold.llm.packing import pack
 from skyfold.llm.quality_rules import judged, learn_rules, with_statistics
+from skyfold.llm.resampling import resample
 from skyfold.llm.suffix_dedup import repeated_bytes
 from skyfold.llm.token_files import token_digest
 from skyfold.llm.url_filters import BLOCKED_WORDS, filter_urls
@@ -63,6 +65,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op11"))
+
+
+def op12_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    sequences = pack_by_length(table(spark, sf_dir, "documents"), Scratch(spark, "op12"), vocabulary)
+    return sequences.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 _OP4_SQL = r"""
 with parsed as (
     select page_id,
@@ -102,6 +114,8 @@ QUERIES = {
         op8_minhash_dedup,
         op9_backoff_scores,
         op10_license_scan,
+        op11_importance_resampling,
+        op12_power_of_two_packing,
     )
 }
 _OP5_SQL = """
@@ -222,4 +236,58 @@ select doc_id, cast(len(w) as bigint) as n_words, round(coalesce(s, 0), 4) as lo
 from split left join sums using (doc_id)
 """
 
-ORACLES = {"op9_backoff_scores": _OP9_SQL, "op5_suffix_dedup": _OP5_SQL, "op8_minhash_dedup": _OP8_SQL, "op4_url_filters": _OP4_SQL}
+_OP11_SQL = r"""
+with crc as (
+    select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, x:
+        case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as steps
+), split as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), target as (
+    select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+    from benchmark
+), words as (
+    select doc_id, unnest(w) as word from split
+), bytes as (
+    select word, hex(encode(word)) as h from (select word from words union select word from target)
+), hashed as (
+    select word, xor(list_reduce(
+        list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint)),
+        lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as bucket
+    from bytes, crc
+), corpus as (
+    select bucket, count(*) as n from words join hashed using (word) group by bucket
+), wanted as (
+    select bucket, count(*) as n from target join hashed using (word) group by bucket
+), sizes as (
+    select (select count(*) from words) as s, (select count(*) from target) as t
+), gains as (
+    select bucket, cast(floor(1000 * ln(((coalesce(wanted.n, 0) + 1) * (s + 10000))::double / ((corpus.n + 1) * (t + 10000)))) as bigint) as gain
+    from corpus left join wanted using (bucket), sizes
+), weights as (
+    select doc_id, sum(gain) as total from words join hashed using (word) join gains using (bucket) group by doc_id
+), scored as (
+    select split.doc_id, cast(len(w) as bigint) as n_features,
+           cast(floor(coalesce(total, 0)::double / greatest(len(w), 1)) as bigint) as weight,
+           ('0x' || left(sha256('2024:' || split.doc_id), 8))::bigint as h
+    from split left join weights on split.doc_id = weights.doc_id
+), noisy as (
+    select doc_id, n_features, weight, cast(weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) as bigint) as score
+    from scored
+), ranked as (
+    select doc_id, row_number() over (order by score desc, doc_id) as rank, 10 * count(*) over () // 100 as drawn
+    from noisy where n_features >= 20
+)
+select noisy.doc_id, n_features, weight, score, rank
+from noisy left join (select * from ranked where rank <= drawn) as r on noisy.doc_id = r.doc_id
+"""
+
+ORACLES = {
+    "op4_url_filters": _OP4_SQL,
+    "op5_suffix_dedup": _OP5_SQL,
+    "op8_minhash_dedup": _OP8_SQL,
+    "op9_backoff_scores": _OP9_SQL,
+    "op11_importance_resampling": _OP11_SQL,
+}
