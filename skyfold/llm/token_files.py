@@ -47,8 +47,9 @@ SAMPLE_CHARACTERS = 20_000
 DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 2 << 20
 SHARD_DOCUMENTS = 20_000
-#: Words that a worker remembers the ids of.
+#: Words that a worker remembers the ids of, and text bytes whose distinct words are looked up together.
 CACHE_WORDS = 1_000_000
+PART_BYTES = 1 << 20
 
 #: Fixed value: the split of tokenizers that drop white space and end words with a suffix.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -58,6 +59,17 @@ SHARD_SCHEMA = (
 )
 
 
+def parts_of(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Stretches of ``texts`` that end once they hold ``PART_BYTES``."""
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    begun = 0
+    while begun < len(texts):
+        before = int(ends[begun - 1]) if begun else 0
+        end = int(np.searchsorted(ends, before + PART_BYTES)) + 1
+        yield texts[begun:end]
+        begun = end
+
+
 class Encoder:
     """Encodes whole texts; for tokenizers that split at words, each distinct word only once.
 
@@ -133,12 +145,11 @@ class Encoder:
         if not self.by_word:
             return self._whole(texts)
         out: list[bytes] = []
-        for i in range(0, len(texts), 64):
-            part = texts[i : i + 64]
+        for part in parts_of(texts):
             lowered = [t.lower() for t in part]
             odd = [any(s in t for s in self.special) for t in lowered]
             pieces = [[] if o else self._pieces(t) for o, t in zip(odd, part, strict=True)]
-            words = {w for p in pieces for w in p}
+            words = set().union(*pieces)
             new = [w for w in words if w not in self.known]
             if new:
                 full = len(self.known) + len(new) > CACHE_WORDS
