@@ -81,7 +81,7 @@ def decompose(documents: DataFrame, definition: str, longest: int = LONGEST, end
 def write_buckets(documents: DataFrame, path: str, definition: str, longest: int = LONGEST, end_id: int = END_ID) -> None:
     """Write the pieces of all documents to ``path``, one folder for each length."""
     pieces = decompose(documents, definition, longest, end_id)
-    pieces.hint("rebalance", "length").write.partitionBy("length").parquet(path)
+    pieces.hint("rebalance", "length").write.partitionBy("length").option("compression", "zstd").parquet(path)
 
 
 def read_buckets(documents: DataFrame, path: str) -> DataFrame:

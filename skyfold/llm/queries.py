@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyfold.llm.alignment import align
 from skyfold.llm.backoff import backoff_scores
 from skyfold.llm.common import Scratch, table
 from skyfold.llm.decomposition import pack_by_length
@@ -75,6 +76,11 @@ def op12_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align(table(spark, sf_dir, "documents"), Scratch(spark, "op13"), *paths)
+
+
 _OP4_SQL = r"""
 with parsed as (
     select page_id,
@@ -116,6 +122,7 @@ QUERIES = {
         op10_license_scan,
         op11_importance_resampling,
         op12_power_of_two_packing,
+        op13_tokenizer_alignment,
     )
 }
 _OP5_SQL = """
