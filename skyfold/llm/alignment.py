@@ -48,7 +48,7 @@ BLOCK_BYTES = 4 << 20
 LEAF_BLOCKS = 1024
 FAN = 32
 #: Distinct stretches of text that a worker remembers.
-STRETCHES = 150_000
+STRETCHES = 500_000
 
 #: Fixed value: the split of byte-level tokenizers that keep white space.
 BYTE_LEVEL_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -109,6 +109,12 @@ class Pieces:
         return self.processor.encode(texts, num_threads=1)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values, ascending; the stable sort makes use of runs that ascend already."""
+    values = np.sort(values, kind="stable")
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 class Stretches:
     """Aligned stretches of text: for each its tokens, groups and links, the links as pairs ``a * width + b``."""
 
@@ -129,7 +135,7 @@ class Stretches:
         flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(self.n_b.sum()))
         end_a, end_b = np.cumsum(aligner.sizes_a[flat_a]), np.cumsum(aligner.sizes_b[flat_b])
         # Between neighbouring ends of either, exactly one token of each lies: every such span is one link.
-        ends = np.union1d(end_a, end_b)
+        ends = _distinct(np.concatenate([end_a, end_b]))
         of_a, of_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         self.pairs = flat_a[of_a] * aligner.width + flat_b[of_b]
         last = np.cumsum([len(r) for r in raw]) if raw else np.zeros(0, np.int64)
@@ -184,7 +190,7 @@ class Aligner:
         if len(self.parts) > 1:
             self.parts = [_joined(self.parts)]
         found = Documents(self, cut)
-        unsound = np.unique(found.owner[~self.parts[0].sound[found.which]]) if self.parts else []
+        unsound = _distinct(found.owner[~self.parts[0].sound[found.which]]) if self.parts else []
         if len(unsound):  # seldom: decided on the whole text, as the definition says
             whole = [decoded[d] for d in unsound.tolist()]
             self._learn([t for t in dict.fromkeys(whole) if t not in self.place], spell)
@@ -212,6 +218,12 @@ class Documents:
         self.which = np.fromiter(map(aligner.place.__getitem__, chain.from_iterable(cut)), np.int64, int(self.counts.sum()))
         self.owner = np.repeat(np.arange(len(cut)), self.counts)
 
+    def _numbered(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct stretches, ascending, and which of them each is."""
+        met = np.zeros(len(self.aligner.place), bool)
+        met[self.which] = True
+        return np.flatnonzero(met), (np.cumsum(met) - 1)[self.which]
+
     def _pairs_of(self, stretches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All links of these stretches, one after the other, and how many each has."""
         known = self.aligner.parts[0]
@@ -223,14 +235,14 @@ class Documents:
         """Distinct pairs of the block, ascending, and how many of its documents hold each."""
         if not len(self.which):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        stretches, at = np.unique(self.which, return_inverse=True)
+        stretches, at = self._numbered()
         pairs, n = self._pairs_of(stretches)
         distinct, number = np.unique(pairs, return_inverse=True)
-        held = np.unique(self.owner * len(stretches) + at)  # a document and a stretch, once
+        held = _distinct(self.owner * len(stretches) + at)  # a document and a stretch, once
         owner, stretch = held // len(stretches), held % len(stretches)
         first, many = (np.cumsum(n) - n)[stretch], n[stretch]
         links = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        once = np.unique(np.repeat(owner, many) * len(distinct) + number[links])
+        once = _distinct(np.repeat(owner, many) * len(distinct) + number[links])
         return distinct, np.bincount(once % len(distinct), minlength=len(distinct))
 
     def summed(self, of_stretch: np.ndarray) -> np.ndarray:
@@ -247,7 +259,7 @@ class Documents:
             numbers = dict.fromkeys(("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), zero)
             return numbers | {"groups_sha256": [""] * len(zero)}
         known = aligner.parts[0]
-        stretches = np.unique(self.which)
+        stretches, _ = self._numbered()
         links, n = self._pairs_of(stretches)
         at = np.searchsorted(pairs, links)
         if len(links) and (at.max() >= len(pairs) or (pairs[at] != links).any()):
