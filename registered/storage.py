@@ -32,7 +32,7 @@ from skyfold.plans import (
     fact_from_observations,
     ingest_dimensions,
     ingest_year,
-    read_fact,
+    read_facts,
 )
 from skyfold.plans.facts import FACTS
 from skyfold.schema import OBSERVATION_COLUMNS
@@ -211,8 +211,7 @@ def job_ingest_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _long(spark: SparkSession, out: str, variant: str) -> DataFrame:
     """All rows of all five built facts: one row for each measure."""
     parts = []
-    for name in FACTS:
-        fact = read_fact(spark, out, name, variant)
+    for name, fact in read_facts(spark, out, variant).items():
         labels = ("id", "name", "country_name", "date", "station_name", "latitude_longitude")
         key = next(c for c in ("id", "name", "country_name") if c in fact.columns)
         date = F.col("date") if "date" in fact.columns else F.lit(None).cast("date")

@@ -7,6 +7,7 @@ from skyfold.plans.facts import (
 )
 from skyfold.plans.jobs import (
     backfill_years,
+    built_tables,
     build_facts,
     check_facts,
     check_sources,
@@ -14,6 +15,7 @@ from skyfold.plans.jobs import (
     ingest_dimensions,
     ingest_year,
     read_fact,
+    read_facts,
     store_results,
 )
 from skyfold.plans.suites import MODEL_CHECKS, fact_checks, monthly_invariants, raw_checks
@@ -35,6 +37,8 @@ __all__ = [
     "ingest_year",
     "monthly_invariants",
     "raw_checks",
+    "built_tables",
     "read_fact",
+    "read_facts",
     "store_results",
 ]

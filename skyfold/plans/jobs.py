@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from skyfold.operators.quality import (
     RESULT_SCHEMA,
@@ -35,6 +35,7 @@ from skyfold.schema import RUN_ID_FORMAT
 from skyfold.session import shuffle_partitions
 from skyfold.sinks.publish import Files, aside, swap, year_moves
 from skyfold.sinks.tables import OBSERVATION_LAYOUT, Layout, write_dimensions, write_table
+from skyfold.sinks.versions import Snapshot, Staged, current, publish
 from skyfold.sources.observations import file_year, read_observations_csv, read_raw_csv, read_years, year_of_path
 from skyfold.sources.stations import read_countries_txt, read_stations_txt
 
@@ -166,13 +167,20 @@ def variant_path(out: str, variant: str) -> str:
     return f"{out}/{variant}"
 
 
-def fact_path(out: str, name: str, variant: str = "exact") -> str:
-    return f"{variant_path(out, variant)}/{name}"
+def built_tables(spark: SparkSession, out: str, variant: str = "exact") -> Snapshot:
+    """The published version of a variant: the facts and the partials ``partials/daily`` and ``partials/monthly``."""
+    return current(spark, variant_path(out, variant))
+
+
+def read_facts(spark: SparkSession, out: str, variant: str = "exact") -> dict[str, DataFrame]:
+    """All five facts of one version, without their directory column."""
+    tables = built_tables(spark, out, variant)
+    return {name: tables.read(name).drop("year") for name in FACTS}
 
 
 def read_fact(spark: SparkSession, out: str, name: str, variant: str = "exact") -> DataFrame:
-    """A built fact without its directory column."""
-    return spark.read.parquet(fact_path(out, name, variant)).drop("year")
+    """A built fact without its directory column. To read several that belong together, use ``read_facts``."""
+    return built_tables(spark, out, variant).read(name).drop("year")
 
 
 @dataclass(frozen=True)
@@ -219,11 +227,14 @@ def build_facts(
     results_path: str | None = None,
     batch_bytes: int = BATCH_BYTES,
 ) -> None:
-    """Build all five facts of the inclusive year range under ``out/variant`` and publish them together.
+    """Build all five facts of the inclusive year range under ``out/variant`` and publish them in one step.
+
+    A reader sees either all tables as they were or all as they are now; see ``skyfold.sinks.versions``. Of two builds that run side
+    by side the second to end is refused.
 
     Dimensions are checked first: a doubled station would double its rows. Raw rows are read once, into daily partials, in
     batches of years by their stored bytes; monthly partials come from those, and every fact from one of the two. Everything
-    is written aside, the declared checks of the facts must hold, and then all tables are moved into place.
+    is written aside, the declared checks of the facts must hold, and then the next version is published.
 
     With ``changed_years``, after a full build, only those years are read; tables by year get those years replaced, or removed
     where nothing is left of them, and the small country tables are redone from the monthly partials of all years. Build fully
@@ -252,7 +263,7 @@ def build_facts(
         gate(found if results_path is None else store_results(found, results_path, new_run_id()))
     dimensions = Dimensions.of(stations, countries)
     _ = dimensions.stations, dimensions.countries  # sized here, before the writes run side by side
-    new = aside(base)
+    new, began = aside(base), current(spark, base)
 
     def of_years(df: DataFrame, wanted: list[int]) -> DataFrame:
         return df.where(F.col("year").isin(wanted))
@@ -273,7 +284,7 @@ def build_facts(
         daily, monthly = spark.read.parquet(daily_path), spark.read.parquet(monthly_path)
         all_months = monthly
         if partial:
-            old = spark.read.parquet(f"{base}/partials/monthly")
+            old = began.read("partials/monthly")
             unchanged = F.col("year").between(first_year, last_year) & ~F.col("year").isin(years)
             all_months = monthly.unionByName(old.where(unchanged))
 
@@ -307,13 +318,15 @@ def build_facts(
             with _setting(spark, "spark.sql.adaptive.enabled", "false"):
                 gate(reduce(DataFrame.unionAll, parts))
 
-        by_year = ["partials/daily", "partials/monthly", *[n for n, f in FACTS.items() if f.layout(variant).by_year]]
-        whole = [n for n in FACTS if n not in by_year]
-        if partial:
-            moves = [m for n in by_year for m in year_moves(spark, f"{new}/{n}", f"{base}/{n}", years)]
-            swap(spark, moves + [(f"{new}/{n}", f"{base}/{n}") for n in whole])
-        else:
-            swap(spark, [(new, base)])
+        def staged(name: str, schema: StructType, by_year: bool) -> Staged:
+            return Staged(f"{new}/{name}", schema, by_year, years if partial else None)
+
+        tables = {n: staged(n, frame.schema, True) for n, frame in (("partials/daily", daily), ("partials/monthly", monthly))}
+        for name, schema in written.items():
+            by_year = FACTS[name].layout(variant).by_year
+            with_year = schema if not by_year or "year" in schema.names else StructType([*schema, StructField("year", IntegerType())])
+            tables[name] = staged(name, with_year, by_year)
+        publish(began, tables)
     finally:
         files.delete(new)
 
@@ -341,4 +354,4 @@ def check_facts(facts: dict[str, DataFrame], variant: str = "exact") -> DataFram
 
 def check_tables(spark: SparkSession, out: str, variant: str = "exact") -> DataFrame:
     """``check_facts`` over the built tables."""
-    return check_facts({name: read_fact(spark, out, name, variant) for name in FACTS}, variant)
+    return check_facts(read_facts(spark, out, variant), variant)

@@ -11,6 +11,7 @@ import re
 import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -18,6 +19,7 @@ class Files:
     """The few file system calls that publishing needs, on whatever store a path names."""
 
     def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
 
@@ -43,6 +45,49 @@ class Files:
         fs, p = self._at(path)
         fs.mkdirs(p)
 
+    def names(self, path: str) -> list[str]:
+        """Names of what lies in a folder; none where there is no folder."""
+        fs, p = self._at(path)
+        return [e.getPath().getName() for e in fs.listStatus(p)] if fs.exists(p) else []
+
+    def length_and_time(self, path: str) -> tuple[int, int]:
+        """Bytes of a file, or of all in a folder, and the latest change of any of them in milliseconds."""
+        fs, p = self._at(path)
+        status = fs.getFileStatus(p)
+        if not status.isDirectory():
+            return status.getLen(), status.getModificationTime()
+        inner = [self.length_and_time(f"{path.rstrip('/')}/{n}") for n in self.names(path)]
+        return sum(n for n, _ in inner), max([t for _, t in inner], default=0)
+
+    def text(self, path: str) -> str:
+        fs, p = self._at(path)
+        stream = fs.open(p)
+        try:
+            return self._spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        fs, p = self._at(path)
+        stream = fs.create(p, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def rename_to_new(self, source: str, target: str) -> bool:
+        """Rename a file to a name that must be free; says whether it was."""
+        hadoop = self._spark._jvm.org.apache.hadoop.fs
+        _, p = self._at(target)
+        plain = self._spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+        try:
+            hadoop.FileContext.getFileContext(p.toUri(), self._conf).rename(self._path(source), p, plain)
+        except Py4JJavaError as failure:
+            if "FileAlreadyExists" in failure.java_exception.getClass().getName():
+                return False
+            raise
+        return True
+
     def years(self, root: str) -> dict[int, int]:
         """Bytes of each year directory under ``root``, from the listing of directories alone."""
         fs, p = self._at(root)

@@ -11,6 +11,7 @@ from skyfold.plans import (
     Dimensions,
     backfill_years,
     build_facts,
+    built_tables,
     check_tables,
     fact_from_observations,
     ingest_dimensions,
@@ -187,7 +188,7 @@ def test_batches_of_years_give_the_same_facts(spark, built, observations, statio
         direct = fact_from_observations(name, observations, Dimensions.of(stations, countries))
         assert rows_of(read_fact(spark, out, name)) == rows_of(direct), name
     out = built(2022, 2022, batch_bytes=1)
-    assert spark.read.parquet(f"{out}/exact/partials/daily").where("year = 2021").count() == 0
+    assert built_tables(spark, out).read("partials/daily").where("year = 2021").count() == 0
 
 
 def test_refresh_of_one_year_equals_a_full_build(spark, built, observations, stations, countries):

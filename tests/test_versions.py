@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+import threading
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyfold.plans import build_facts, built_tables, read_facts
+from skyfold.sinks import replace_years
+from skyfold.sinks.publish import Files
+from skyfold.sinks.versions import ConcurrentPublication, Staged, current, expire, publish
+from tests.conftest import rows_of
+
+
+@pytest.fixture
+def base(tmp_path):
+    return f"file://{tmp_path}/set"
+
+
+@pytest.fixture
+def stage(spark, tmp_path):
+    """Tables written aside: ``numbers`` by year with a row for each year, ``label`` in one piece."""
+
+    def make(years: dict[int, int], label: str, only: list[int] | None = None) -> dict[str, Staged]:
+        at = f"file://{tmp_path}/aside-{uuid.uuid4().hex}"
+        numbers = spark.createDataFrame([(n, y) for y, n in years.items()], "n int, year int")
+        numbers.write.partitionBy("year").parquet(f"{at}/numbers")
+        labels = spark.createDataFrame([(label,)], "label string")
+        labels.write.parquet(f"{at}/label")
+        return {
+            "numbers": Staged(f"{at}/numbers", numbers.schema, years=only),
+            "label": Staged(f"{at}/label", labels.schema, by_year=False),
+        }
+
+    return make
+
+
+def held(snapshot):
+    return {r["year"]: r["n"] for r in snapshot.read("numbers").collect()}, snapshot.read("label").first()["label"]
+
+
+def test_versions_follow_each_other(spark, base, stage):
+    nothing = current(spark, base)
+    assert nothing.number == 0
+    with pytest.raises(ValueError, match="no table"):
+        nothing.read("numbers")
+    publish(nothing, stage({2020: 1, 2021: 1, 2022: 1}, "a"))
+    first = current(spark, base)
+    publish(first, stage({2021: 2}, "b", only=[2021, 2022]))
+    second = current(spark, base)
+    assert held(first) == ({2020: 1, 2021: 1, 2022: 1}, "a")  # still readable, and unchanged
+    assert held(second) == ({2020: 1, 2021: 2}, "b") and (first.number, second.number) == (1, 2)
+    assert set(second.paths("numbers")) & set(first.paths("numbers")) == {p for p in first.paths("numbers") if "2020" in p}
+    with pytest.raises(ValueError, match="beyond"):
+        publish(second, stage({2020: 9, 2021: 9}, "c", only=[2021]))
+    assert held(current(spark, base)) == ({2020: 1, 2021: 2}, "b")
+
+
+def test_one_scan_and_only_the_asked_years(spark, base, stage):
+    for k in range(3):
+        publish(current(spark, base), stage({2020 + k: k}, "x", only=[2020 + k] if k else None))
+    frame = current(spark, base).read("numbers").where("year = 2021")
+    plan = frame._jdf.queryExecution().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(year" in plan
+    assert [r["n"] for r in frame.collect()] == [1] and len(frame.inputFiles()) >= 1
+
+
+def test_old_versions_expire(spark, base, stage):
+    snapshots = []
+    for k in range(4):
+        snapshots.append(publish(current(spark, base), stage({2020: k, 2021 + k: k}, str(k), only=[2020, 2021 + k] if k else None)))
+    files = Files(spark)
+    assert [files.exists(s.paths("label")[0]) for s in snapshots] == [False, False, True, True]
+    assert len(files.names(f"{base}/numbers/year=2020")) == 2  # its newest two
+    assert held(snapshots[3]) == ({2020: 3, 2021: 0, 2022: 1, 2023: 2, 2024: 3}, "3")
+    expire(spark, base, 1)
+    assert not files.exists(snapshots[2].paths("label")[0]) and held(current(spark, base)) == held(snapshots[3])
+    with pytest.raises(ValueError):
+        expire(spark, base, 0)
+
+
+def test_the_second_of_two_writers_is_refused_and_leaves_nothing(spark, base, stage):
+    publish(current(spark, base), stage({2020: 1}, "a"))
+    began = current(spark, base)
+    publish(began, stage({2020: 2}, "b"))
+    with pytest.raises(ConcurrentPublication):
+        publish(began, stage({2020: 3}, "c"))
+    assert held(current(spark, base)) == ({2020: 2}, "b")
+    assert not [n for n in Files(spark).names(f"{base}/_versions") if n.startswith(".new")]
+    publish(current(spark, base), stage({2020: 4}, "d"))
+    left = Files(spark).names(f"{base}/numbers/year=2020")
+    assert len(left) == 2 and held(current(spark, base)) == ({2020: 4}, "d")
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_a_driver_lost_between_two_steps_leaves_the_old_set(spark, base, stage, monkeypatch, step):
+    """Two folders of years and one of the label are moved, then the version is named: lost before each."""
+    publish(current(spark, base), stage({2020: 1, 2021: 1}, "a"))
+    new, done = stage({2020: 2, 2021: 2}, "b"), []
+    rename, name = Files.rename, Files.rename_to_new
+
+    def lost(real):
+        def run(self, *args):
+            if len(done) == step:
+                raise KeyboardInterrupt
+            done.append(args)
+            return real(self, *args)
+
+        return run
+
+    with monkeypatch.context() as m:
+        m.setattr(Files, "rename", lost(rename))
+        m.setattr(Files, "rename_to_new", lost(name))
+        with pytest.raises(KeyboardInterrupt):
+            publish(current(spark, base), new)
+    assert held(current(spark, base)) == ({2020: 1, 2021: 1}, "a")
+    for k in (3, 4):
+        publish(current(spark, base), stage({2020: k, 2021: k}, "c"))
+    assert held(current(spark, base)) == ({2020: 4, 2021: 4}, "c")
+    assert len(Files(spark).names(f"{base}/numbers/year=2020")) == 2  # what was lost is gone
+
+
+def test_a_reader_beside_a_build_sees_one_version_of_all_facts(spark, tmp_path, observations, stations, countries):
+    root, out = str(tmp_path / "root"), str(tmp_path / "out")
+    replace_years(observations, root)
+    build_facts(spark, root, stations, countries, out, 2021, 2022)
+    replace_years(observations.withColumn("data_value", F.col("data_value") + 70), root)
+    seen, stop, failed = [], threading.Event(), []
+
+    def look():
+        try:
+            while not stop.is_set():
+                facts = read_facts(spark, out)
+                columns = {"stations_monthly": "temp_max_abs", "countries_historic": "temp_max"}
+                seen.append(tuple(facts[f].agg(F.max(c)).first()[0] for f, c in columns.items()))
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    try:
+        build_facts(spark, root, stations, countries, out, 2021, 2022)
+    finally:
+        threading.Event().wait(3)
+        stop.set()
+        reader.join()
+    assert not failed, failed
+    assert set(seen) == {(14.0, 14.0), (21.0, 21.0)} and seen == sorted(seen)
+    assert built_tables(spark, out).number == 2
+
+
+def test_a_refresh_names_the_folders_of_the_other_years(spark, tmp_path, observations, stations, countries):
+    root, out = str(tmp_path / "root"), str(tmp_path / "out")
+    replace_years(observations, root)
+    build_facts(spark, root, stations, countries, out, 2021, 2022)
+    before = built_tables(spark, out)
+    rows = rows_of(before.read("stations_daily"))
+    build_facts(spark, root, stations, countries, out, 2021, 2022, changed_years=[2022])
+    after = built_tables(spark, out)
+    for name in ("partials/daily", "partials/monthly", "stations_daily", "stations_yearly"):
+        assert {p for p in after.paths(name) if "year=2021" in p} == {p for p in before.paths(name) if "year=2021" in p}
+        assert not {p for p in after.paths(name) if "year=2022" in p} & set(before.paths(name))
+    assert rows_of(after.read("stations_daily")) == rows == rows_of(before.read("stations_daily"))
