@@ -29,6 +29,7 @@ from skyfold.operators import union_years as union_frames
 from skyfold.plans import (
     backfill_years,
     build_facts,
+    catch_up,
     fact_from_observations,
     ingest_dimensions,
     ingest_year,
@@ -175,6 +176,32 @@ def job_backfill_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/observations").select(OBSERVATION_COLUMNS)
 
 
+@query(OBSERVATIONS_SQL)
+def job_catch_up_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outdated table, of which the ledger knows nothing, is taken up by two runs: one over three years, one over all."""
+    base = scratch(spark)
+    root, ledger = f"{base}/observations", f"{base}/ledger"
+    files = write_year_files(spark, sf_dir, f"{base}/csv")
+    replace_years(_outdated(spark, sf_dir)[0], root)
+    catch_up(spark, files[:3], root, ledger)
+    catch_up(spark, files, root, ledger)
+    return spark.read.parquet(root).select(OBSERVATION_COLUMNS)
+
+
+@query(
+    f"select * from ({OBSERVATIONS_SQL}) o where date between date '1997-03-10' and date '1997-03-12'"
+    f" union all select * from ({OBSERVATIONS_SQL}) o where id = (select min(id) from ({OBSERVATIONS_SQL}) x)"
+)
+def scan_days_and_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter on days and one on a station, each over a table laid out for both."""
+    root = f"{scratch(spark)}/observations"
+    replace_years(with_year(observations(spark, sf_dir)), root, arrange="grid")
+    stored = spark.read.parquet(root)
+    days = stored.where("year = 1997 and date between date'1997-03-10' and date'1997-03-12'")
+    station = stored.join(stored.agg(F.min("id").alias("id")), "id", "left_semi")
+    return days.unionAll(station).select(OBSERVATION_COLUMNS)
+
+
 @query(OBSERVATIONS_SQL)
 def job_ingest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored year that is off by one is replaced from its file, twice."""

@@ -8,7 +8,19 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from skyfold.operators import gate
-from skyfold.plans import backfill_years, build_facts, check_sources, check_tables, ingest_dimensions, ingest_year, store_results
+from skyfold.plans import (
+    backfill_years,
+    build_facts,
+    built_tables,
+    catch_up,
+    check_sources,
+    check_tables,
+    ingest_dimensions,
+    ingest_year,
+    mark_built,
+    pending_years,
+    store_results,
+)
 from skyfold.plans.facts import VARIANTS
 from skyfold.plans.jobs import new_run_id
 from skyfold.session import open_session
@@ -31,6 +43,12 @@ def _parser() -> argparse.ArgumentParser:
     many.add_argument("csv", nargs="+")
     many.add_argument("--results")
 
+    some = jobs.add_parser("catch-up", help="ingest the years that are missing or have changed, one at a time")
+    for name in ("root", "ledger"):
+        some.add_argument(name)
+    some.add_argument("csv", nargs="+")
+    some.add_argument("--results")
+
     dims = jobs.add_parser("ingest-dimensions", help="fixed-width stations and countries to tables")
     for name in ("stations_txt", "countries_txt", "stations", "countries"):
         dims.add_argument(name)
@@ -42,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     facts.add_argument("last_year", type=int)
     facts.add_argument("--variant", choices=VARIANTS, default="exact")
     facts.add_argument("--changed-years", type=int, nargs="+")
+    facts.add_argument("--ledger", help="refresh the years that this ledger of a catch-up holds as not built yet")
     facts.add_argument("--sample-rows", type=int, help="a trial build, into a folder of its own")
     facts.add_argument("--results")
 
@@ -62,9 +81,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         ingest_year(spark, args.csv, args.root, args.year, args.results)
     elif args.job == "backfill":
         backfill_years(spark, args.csv, args.root, args.results)
+    elif args.job == "catch-up":
+        catch_up(spark, args.csv, args.root, args.ledger, args.results)
     elif args.job == "ingest-dimensions":
         ingest_dimensions(spark, args.stations_txt, args.countries_txt, args.stations, args.countries)
     elif args.job == "build-facts":
+        changed, pending = args.changed_years, []
+        if args.ledger:
+            pending = pending_years(spark, args.ledger)
+            # Without facts of this variant the build is a full one, which covers them.
+            if built_tables(spark, args.out, args.variant).number:
+                if not pending:
+                    return
+                changed = sorted({*(changed or []), *pending})
         build_facts(
             spark,
             args.root,
@@ -74,10 +103,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.first_year,
             args.last_year,
             args.variant,
-            args.changed_years,
+            changed,
             args.sample_rows,
             args.results,
         )
+        if args.ledger and args.sample_rows is None:
+            mark_built(spark, args.ledger, pending)
     elif args.job == "check-sources":
         dimensions = read_dimension(spark, args.stations), read_dimension(spark, args.countries)
         found = check_sources(spark.read.parquet(args.root), *dimensions)

@@ -7,8 +7,8 @@ from skyfold.plans.facts import (
 )
 from skyfold.plans.jobs import (
     backfill_years,
-    built_tables,
     build_facts,
+    built_tables,
     check_facts,
     check_sources,
     check_tables,
@@ -18,6 +18,7 @@ from skyfold.plans.jobs import (
     read_facts,
     store_results,
 )
+from skyfold.plans.ledger import catch_up, mark_built, pending_years
 from skyfold.plans.suites import MODEL_CHECKS, fact_checks, monthly_invariants, raw_checks
 
 __all__ = [
@@ -27,6 +28,8 @@ __all__ = [
     "Dimensions",
     "backfill_years",
     "build_facts",
+    "built_tables",
+    "catch_up",
     "check_facts",
     "check_sources",
     "check_tables",
@@ -35,9 +38,10 @@ __all__ = [
     "fact_from_partials",
     "ingest_dimensions",
     "ingest_year",
+    "mark_built",
     "monthly_invariants",
+    "pending_years",
     "raw_checks",
-    "built_tables",
     "read_fact",
     "read_facts",
     "store_results",

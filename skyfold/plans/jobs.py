@@ -123,7 +123,7 @@ def ingest_year(
     """Check one yearly file, type it, and replace that year. Repeating it leaves the same state.
 
     A scan split of the file holds one year only, so rows are sorted where they are read: no shuffle. For a year that will
-    be read by id for long, ``arrange="cluster"`` makes each file cover a range of ids, at the cost of one.
+    be read by day or id for long, ``arrange="grid"`` makes each file cover a stripe of days and a range of ids, at the cost of one.
     """
     raw = read_raw_csv(spark, csv_path)
     typed = read_observations_csv(spark, csv_path).withColumn("year", F.lit(year))
@@ -137,11 +137,11 @@ def backfill_years(
     root: str,
     results_path: str | None = None,
     run_id: str | None = None,
-    arrange: str = "cluster",
+    arrange: str = "grid",
 ) -> None:
     """Ingest many yearly files, named after their year, with one read and one write.
 
-    Past years are clustered: each file covers a range of ids of a year. Spark compares the header of every part of every
+    Past years are laid out for filters on days and on ids: a file covers a stripe of a year's days and a range of ids. Spark compares the header of every part of every
     file during that read. All years are replaced, or none.
     """
     paths = list(csv_paths)

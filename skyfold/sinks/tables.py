@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyfold.sinks.publish import Files, aside, swap
 
 _ORIGIN = "_origin_partition"
+_STRIPE = "_stripe"
 
 
 @dataclass(frozen=True)
@@ -16,6 +17,8 @@ class Layout:
 
     cluster: tuple[str, ...]
     by_year: bool = True
+    #: Stretches of days that ``arrange="grid"`` cuts a year into.
+    stripes: int = 24
 
     @property
     def order(self) -> tuple[str, ...]:
@@ -58,6 +61,9 @@ def write_table(
 
     ``cluster``  range-partitioned on the layout's order, so each file covers a narrow range. Computes
                  ``df`` twice from its last shuffle on, as ranges are found by sampling.
+    ``grid``     like ``cluster``, but inside a year by stripes of days first: a file covers a stripe and a range of the cluster
+                 columns, so that statistics of files prune filters on days and filters on ids alike. With n files a year a
+                 day opens one in ``stripes``, an id ``stripes`` in n.
     ``spread``   gathered by year in one pass; AQE cuts years that are large and merges small ones.
     ``keep``     left in their partitions, without a shuffle: for a scan of yearly files, or of a table
                  with this layout, where a partition holds about one year already.
@@ -65,12 +71,15 @@ def write_table(
     frame = _with_year(df) if layout.by_year else df
     if arrange == "cluster":
         frame = clustered(frame, *layout.order, partitions=partitions)
+    elif arrange == "grid" and layout.by_year:
+        day = F.floor((F.dayofyear("date") - 1) * layout.stripes / 366)
+        frame = clustered(frame.withColumn(_STRIPE, day), "year", _STRIPE, *layout.cluster, partitions=partitions).drop(_STRIPE)
     elif arrange == "spread":
         frame = frame.hint("rebalance", *(["year"] if layout.by_year else [])).sortWithinPartitions(*layout.order)
     elif arrange == "keep":
         frame = frame.sortWithinPartitions(*layout.order)
     else:
-        raise ValueError(f"arrange must be cluster, spread or keep, got {arrange!r}")
+        raise ValueError(f"arrange must be cluster, spread or keep, or grid for a table by year, got {arrange!r}")
     writer = frame.write.mode("overwrite")
     if layout.by_year:
         writer = writer.partitionBy("year").option(

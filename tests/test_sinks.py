@@ -115,3 +115,34 @@ def test_view(spark, observations):
     view = register_view(observations, "some_observations")
     assert rows_of(view) == rows_of(observations)
     assert spark.sql("select count(*) from some_observations").first()[0] == observations.count()
+
+
+def test_the_grid_prunes_days_and_ids(spark, tmp_path):
+    """A year in some 140 files: a day and a station each lie in a small share of them, in one table."""
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 120_000, 1, 8).select(
+        F.format_string("ST%09d", F.col("id") % 400).alias("id"),
+        F.date_add(F.lit(date(2021, 1, 1)), (F.col("id") / 400).cast("int")).alias("date"),
+        F.col("id").alias("data_value"),
+    )
+    layout = Layout(("id", "date"), stripes=12)
+    write_table(rows, path, layout, arrange="grid", partitions=144)
+    stored = spark.read.parquet(path)
+    assert rows_of(stored.drop("year").agg(F.count("*"), F.sum("data_value"))) == [(120_000, sum(range(120_000)))]
+    ranges = stored.groupBy(F.col("_metadata.file_path")).agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.min("date").alias("first"), F.max("date").alias("last")
+    )
+    files = ranges.collect()
+    assert len(files) > 100
+    for day in (date(2021, 1, 1), date(2021, 6, 15), date(2021, 10, 20)):
+        assert sum(f["first"] <= day <= f["last"] for f in files) <= len(files) / 6
+    for station in ("ST000000000", "ST000000123", "ST000000399"):
+        assert sum(f["low"] <= station <= f["high"] for f in files) <= len(files) / 6
+    plan = stored.where("year = 2021 and date = date'2021-06-15' and id = 'ST000000123'")
+    text = plan._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(date), IsNotNull(id), EqualTo(date" in text and plan.count() == 1
+
+
+def test_a_grid_needs_years(tmp_path, observations):
+    with pytest.raises(ValueError, match="grid"):
+        write_table(observations, str(tmp_path / "t"), Layout(("id",), by_year=False), arrange="grid")
