@@ -34,6 +34,7 @@ from skyfold.plans import (
 )
 from skyfold.plans.suites import MODEL_CHECKS
 from skyfold.schema import RAW_HEADER
+from skyfold.sources import read_raw_csv
 
 _OBS = f"({OBSERVATIONS_SQL})"
 _STA = f"({WITH_SQL} select * from sta)"
@@ -88,11 +89,12 @@ def _suite_sql(suites: list[tuple[str, str, list[tuple[str, str]]]]) -> str:
     return "\nunion all\n".join(_check_sql(t, source, *c) for t, source, checks in suites for c in checks)
 
 
-def _header_check_sql(table: str, columns: str) -> str:
+def _header_check_sql(table: str, columns: str, rows: str = "cast(null as bigint)") -> str:
     """Missing and extra columns, or with neither the misplaced ones, by the catalogue's description of ``columns``."""
     wanted = ", ".join(f"'{c}'" for c in _HEADER_SQL)
     return f"""
-select '{table}' as table_name, 'column_set' as check_name, '*' as column_name, cast(null as bigint) as row_count,
+select '{table}' as table_name, 'column_set' as check_name, '*' as column_name,
+       {rows} as row_count,
        cast(case when missing + extra > 0 then missing + extra else misplaced end as bigint) as violations,
        missing + extra + misplaced = 0 as passed
 from (
@@ -102,7 +104,16 @@ from (
           from (describe select {columns} from (select 1 as one) o)) f
     full join (select unnest([{wanted}]) as wanted, unnest(range(1, {len(_HEADER_SQL) + 1})) as at_wanted) w
     on found = wanted
-) c"""
+) c
+"""
+
+
+def _year_file_sql(table: str, columns: str, year: int) -> str:
+    """The header check of a year's file, and that its values are not NULL."""
+    of_year = f"from {_OBS} o where year(date) = {year}"
+    return f"""{_header_check_sql(table, columns, f"(select count(*) {of_year})")}
+union all
+select '{table}', 'not_null', 'DATA_VALUE', count(*), count(*) - count(data_value), count(*) = count(data_value) {of_year}"""
 
 
 _COLUMNS_SQL = ", ".join(f"one as {c}" for c in _HEADER_SQL)
@@ -158,24 +169,33 @@ def _flawed_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.unionAll(staged.where(digit % 2 == 0)).unionAll(nameless)
 
 
-def _headers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = raw_text(spark, sf_dir)
+#: The year whose file gets each header.
+_HEADER_YEARS = {label: 1996 + k for k, label in enumerate(_HEADERS_SQL)}
+
+
+def _with_headers(raw: DataFrame) -> dict[str, DataFrame]:
     names = raw.columns
     i, j = names.index("M_FLAG"), names.index("Q_FLAG")
     other = [names[j] if k == i else names[i] if k == j else c for k, c in enumerate(names)]
     return {
         "as expected": raw,
         "one column less": raw.drop("S_FLAG"),
-        "one column more": raw.withColumn("EXTRA", F.lit(1)),
+        "one column more": raw.withColumn("EXTRA", F.lit("1")),
         "two columns swapped": raw.select(other),
     }
 
 
-@query("\nunion all\n".join(_header_check_sql(t, c) for t, c in _HEADERS_SQL.items()))
+@query("\nunion all\n".join(_year_file_sql(t, c, _HEADER_YEARS[t]) for t, c in _HEADERS_SQL.items()))
 def dq_column_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headers that are right, lack a column, have one more, and have two swapped; no row is read for it."""
-    check = column_set(RAW_HEADER, ordered=True)
-    return reduce(DataFrame.unionAll, [run_suite(df, [check], t) for t, df in _headers(spark, sf_dir).items()])
+    """Yearly files whose headers are right, lack a column, have one more, and have two swapped."""
+    base, found = scratch(spark), []
+    for label, rows in _with_headers(raw_text(spark, sf_dir)).items():
+        path = f"{base}/{_HEADER_YEARS[label]}.csv"
+        of_year = rows.where(F.substring("DATE", 1, 4) == str(_HEADER_YEARS[label]))
+        of_year.write.option("header", True).option("emptyValue", "").csv(path)
+        checks = [column_set(RAW_HEADER, ordered=True), not_null("DATA_VALUE")]
+        found.append(run_suite(read_raw_csv(spark, path), checks, label))
+    return reduce(DataFrame.unionAll, found)
 
 
 @query(_suite_sql([("stations_monthly", _MONTHLY, [("not_null", c) for c in _MONTHLY_COLUMNS])]))
@@ -244,7 +264,7 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     flawed = [
         run_suite(_flawed_stations(spark, sf_dir), MODEL_CHECKS["stations"], "flawed stations"),
         run_suite(_flawed_monthly(spark, sf_dir), fact_checks("stations_monthly"), "flawed months"),
-        run_suite(_headers(spark, sf_dir)["one column less"], [column_set(RAW_HEADER)], "one column less"),
+        run_suite(_with_headers(raw_text(spark, sf_dir))["one column less"], [column_set(RAW_HEADER)], "one column less"),
     ]
     sound = check_sources(obs, stations(spark, sf_dir), countries(spark, sf_dir)).unionAll(check_facts(facts))
     return reduce(DataFrame.unionAll, [sound, *flawed])

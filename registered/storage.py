@@ -26,6 +26,7 @@ from registered.tables import (
     years_of,
 )
 from skyfold.operators import union_years as union_frames
+from skyfold.operators.staging import STAGED_STATION_COLUMNS
 from skyfold.plans import (
     backfill_years,
     build_facts,
@@ -37,10 +38,11 @@ from skyfold.plans import (
 )
 from skyfold.plans.facts import FACTS
 from skyfold.schema import OBSERVATION_COLUMNS
-from skyfold.sinks import replace_years, write_dimension, write_table
+from skyfold.sinks import create_view, replace_years, write_dimension, write_table
 from skyfold.sources import (
     read_countries_txt,
     read_dimension,
+    read_inferred_csv,
     read_observations_csv,
     read_stations_txt,
     read_year_files,
@@ -92,6 +94,29 @@ def scan_fixed_width_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_countries_txt(spark, path)
 
 
+@query(STATIONS_SQL)
+def scan_inferred_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations as CSV in parts, their types found from the values."""
+    path = f"{scratch(spark)}/stations.csv"
+    stations(spark, sf_dir).repartition(3, "id").write.option("header", True).option("emptyValue", "").csv(path)
+    return read_inferred_csv(spark, path)
+
+
+@query(
+    "select *, cast(latitude as varchar) || ', ' || cast(longitude as varchar) as latitude_longitude, substr(id, 1, 2) as country_code"
+    f" from ({STATIONS_SQL}) s"
+)
+def lasting_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the catalogue over stored stations, read by another session of the same catalogue."""
+    path = f"{scratch(spark)}/stations"
+    write_dimension(stations(spark, sf_dir), path)
+    name = f"staged_{uuid.uuid4().hex}"
+    create_view(spark, name, path, STAGED_STATION_COLUMNS)
+    found = spark.newSession().table(name)
+    spark.sql(f"DROP VIEW {name}")  # the entry; the frame reads the files
+    return found
+
+
 @query(f"select * from ({OBSERVATIONS_SQL}) o where year(date) between 1996 and 1999")
 def scan_year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_years(spark, _stored(spark, sf_dir), 1996, 1999).select(OBSERVATION_COLUMNS)

@@ -39,6 +39,13 @@ def stage_stations(stations: DataFrame) -> DataFrame:
     )
 
 
+#: What ``stage_stations`` adds, as the SQL of a view.
+STAGED_STATION_COLUMNS = {
+    "latitude_longitude": "concat(cast(latitude as string), ', ', cast(longitude as string))",
+    "country_code": "substring(id, 1, 2)",
+}
+
+
 def stage_countries(countries: DataFrame) -> DataFrame:
     return countries.select("*")
 

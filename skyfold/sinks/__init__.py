@@ -1,6 +1,7 @@
 from skyfold.sinks.tables import (
     Layout,
     clustered,
+    create_view,
     register_view,
     replace_years,
     write_dimension,
@@ -10,6 +11,7 @@ from skyfold.sinks.tables import (
 __all__ = [
     "Layout",
     "clustered",
+    "create_view",
     "register_view",
     "replace_years",
     "write_dimension",

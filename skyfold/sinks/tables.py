@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.sinks.publish import Files, aside, swap
@@ -122,3 +122,13 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     """Name a lazy frame so that SQL and ``read_table`` can use it."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def create_view(spark: SparkSession, name: str, path: str, computed: dict[str, str] | None = None) -> DataFrame:
+    """Put a view over the parquet table at ``path`` into the catalogue: all its columns and ``computed`` ones, as SQL by name.
+
+    It outlives the session, as far as the catalogue does, and reads the table as it is when it is queried.
+    """
+    columns = "".join(f", {expression} AS `{column}`" for column, expression in (computed or {}).items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT *{columns} FROM parquet.`{path}`")
+    return spark.table(name)

@@ -1,3 +1,4 @@
+from skyfold.sources.inference import inferred_types, read_inferred_csv
 from skyfold.sources.observations import (
     read_observations_csv,
     read_raw_csv,
@@ -9,9 +10,11 @@ from skyfold.sources.stations import read_countries_txt, read_fixed_width, read_
 from skyfold.sources.tables import read_dimension, read_table, register_external
 
 __all__ = [
+    "inferred_types",
     "read_countries_txt",
     "read_dimension",
     "read_fixed_width",
+    "read_inferred_csv",
     "read_observations_csv",
     "read_raw_csv",
     "read_stations_txt",

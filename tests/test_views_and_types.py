@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from skyfold.operators.staging import STAGED_STATION_COLUMNS, stage_stations
+from skyfold.sinks import create_view, write_dimension
+from skyfold.sources import inferred_types, read_inferred_csv
+from tests.conftest import rows_of
+
+
+def test_a_view_is_read_by_other_sessions_and_follows_its_table(spark, tmp_path, stations):
+    path, other = str(tmp_path / "stations"), spark.newSession()
+    write_dimension(stations, path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS staging")
+    try:
+        for _ in range(2):
+            made = create_view(spark, "staging.stations", path, STAGED_STATION_COLUMNS)
+            assert made.columns == stage_stations(stations).columns
+            assert rows_of(other.table("staging.stations")) == rows_of(stage_stations(stations))
+        assert not spark.catalog.getTable("staging.stations").isTemporary
+        write_dimension(stations.limit(1).withColumn("name", F.lit("renamed")), path)
+        spark.catalog.refreshTable("staging.stations")
+        assert [r["name"] for r in other.table("staging.stations").collect()] == ["renamed"]
+    finally:
+        spark.sql("DROP DATABASE staging CASCADE")
+
+
+COLUMNS = ["whole", "number", "flag", "day", "code", "mixed", "blank", "huge", "signed"]
+ROWS = [
+    ("1", "1.5", "true", "2022-01-31", "0712", "1", "", "1", "-5"),
+    ("-20", "-2", "false", "2020-02-29", "1712", "2", None, "99999999999999999999", "0"),
+    ("", "1e3", None, "", "3", "x", " ", "3", "7"),
+]
+
+
+def test_the_narrowest_type_that_all_values_fit(spark):
+    df = spark.createDataFrame(ROWS, ", ".join(f"{c} string" for c in COLUMNS))
+    wanted = ["bigint", "double", "boolean", "date", "string", "string", "string", "double", "bigint"]
+    assert list(inferred_types(df).values()) == wanted
+    assert inferred_types(df.limit(0)) == dict.fromkeys(df.columns, "string")
+    assert inferred_types(df.where("day = '2022-01-31'").withColumn("day", F.lit("2022-02-30")))["day"] == "string"
+    assert inferred_types(spark.range(3)) == {}
+
+
+def test_parts_that_disagree_and_blank_values(spark, tmp_path):
+    folder = tmp_path / "dimension.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("id,size,since,note\n1,10,2021-05-01,\n2,,,a\n")
+    (folder / "part-1.csv").write_text("id,size,since,note\nX3,2.5,2020-01-01,b\n")
+    found = read_inferred_csv(spark, str(folder))
+    assert [f.dataType.simpleString() for f in found.schema] == ["string", "double", "date", "string"]
+    assert rows_of(found) == [("1", 10.0, date(2021, 5, 1), ""), ("2", None, None, "a"), ("X3", 2.5, date(2020, 1, 1), "b")]
+    (folder / "part-1.csv").unlink()
+    first = read_inferred_csv(spark, str(folder))
+    assert [f.dataType.simpleString() for f in first.schema] == ["bigint", "bigint", "date", "string"]
