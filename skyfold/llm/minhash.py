@@ -13,7 +13,8 @@ no similar pair fails to do. Pairs are confirmed on the full sets, rebuilt from
 So documents of one component of a bucket need no comparison, and no link between components is lost.
 
 Nulls and odd cases: a null or blank text has an empty set and is linked with nothing. A document without id takes no part: its
-component is null and it is kept. Rows that share an id are one document. A document with fewer words than a shingle has its word
+component is null and it is kept. Rows that share an id and its set are one document; an id whose rows hold different sets takes no
+part: all its rows are kept, as a component of their own, so that no text goes for another's sake. A document with fewer words than a shingle has its word
 sequence as the only element. Other columns are left out.
 """
 
@@ -294,7 +295,15 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, shingle_words: int =
     k = shingle_words
     sketches = scratch.keep(sketched(documents, k), "sketches")
     digest = ["n_shingles", "set_a", "set_b"]
-    filled = sketches.where("n_shingles > 0 and doc_id is not null")
+    torn = scratch.keep(
+        sketches.where("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(*[f(F.struct(*digest)).alias(n) for n, f in (("least", F.min), ("most", F.max))])
+        .where("least != most")
+        .select("doc_id"),
+        "torn",
+    )
+    filled = sketches.where("n_shingles > 0 and doc_id is not null").join(torn, "doc_id", "left_anti")
     classes = scratch.keep(
         filled.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes"
     )
@@ -342,9 +351,10 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, shingle_words: int =
         sketches.drop("bands")
         .join(classes.select(*digest, "rep"), digest, "left")
         .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+        .join(torn.withColumn("torn", F.lit(True)), "doc_id", "left")
     )
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(
-        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("label", "rep"))
+        F.when((F.col("n_shingles") == 0) | F.col("torn"), F.col("doc_id")).otherwise(F.coalesce("label", "rep"))
     )
     return placed.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))

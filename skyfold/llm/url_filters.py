@@ -13,6 +13,7 @@ first, then the smallest text. Other columns are left out.
 from __future__ import annotations
 
 import re
+import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -47,7 +48,11 @@ def host_path_rule(action: str, text: str) -> UrlRule:
     Its tokens are the words of the host and those of the path that a delimiter ends; a last word may go on in the URL.
     """
     host, _, rest = text.partition("/")
-    tokens = [*re.findall("[a-z0-9]+", host.lower()), *re.findall("[a-z0-9]+(?=[^a-z0-9])", f"/{rest}".lower())]
+    lowered = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    tokens = [
+        *re.findall("[a-z0-9]+", host.translate(lowered)),
+        *re.findall("[a-z0-9]+(?=[^a-z0-9])", f"/{rest}".translate(lowered)),
+    ]
     return UrlRule(text, rf"^(?:[^/]*\.)?{re.escape(host)}/{re.escape(rest)}", action, tuple(dict.fromkeys(tokens)), True)
 
 
@@ -79,7 +84,8 @@ def _rules_frame(spark: SparkSession, rules: list[UrlRule]) -> DataFrame:
 
 def url_tokens(address: Column) -> Column:
     """Distinct lower-case tokens of host and path, and the empty token that every URL holds."""
-    return F.array_distinct(F.split(F.concat(F.lower(address), F.lit("/")), "[^a-z0-9]+"))
+    lowered = F.translate(address, string.ascii_uppercase, string.ascii_lowercase)
+    return F.array_distinct(F.split(F.concat(lowered, F.lit("/")), "[^a-z0-9]+"))
 
 
 def rarest_token_index(addresses: DataFrame, rules: DataFrame) -> DataFrame:

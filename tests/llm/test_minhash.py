@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from skyfold.llm.common import Scratch
 from skyfold.llm.components import components
 from skyfold.llm.minhash import BANDS, ROWS, band_keys, near_duplicates, shingle_sets, sketch, without_near_duplicates
 from tests.llm.conftest import prose
@@ -117,3 +118,13 @@ def test_components_of_chains_stars_and_rings(spark, scratch):
     assert all(labels[i] == 0 for i in range(201)) and all(labels[i] == 500 for i in range(500, 551))
     assert all(labels[i] == 900 for i in range(900, 920))
     assert components(frame.limit(0), scratch, "none").isEmpty()
+
+
+def test_no_text_is_lost_where_ids_repeat(documents, scratch):
+    """Id 2 holds the texts of 1 and of 3; 4 and 5 are copies, 4 twice."""
+    texts = [prose(k, 80) for k in range(3)]
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[1]), (4, texts[2]), (4, texts[2]), (5, texts[2])]
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(documents(rows), scratch).collect())
+    assert found == [(1, 1, True), (2, 2, True), (2, 2, True), (3, 3, True), (4, 4, True), (4, 4, True), (5, 4, False)]
+    left = without_near_duplicates(documents(rows), Scratch(scratch.spark, "left")).collect()
+    assert {r["text"] for r in left} == set(texts) and sorted(r["doc_id"] for r in left) == [1, 2, 2, 3, 4, 4]

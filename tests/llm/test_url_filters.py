@@ -25,6 +25,8 @@ URLS = {
     "http://spamfarm.net/spam": ("spamfarm.net", "/spam", None, "allow"),
     "http://example.org": ("example.org", "", None, "allow"),
     "http://example.org?x": ("example.org", "", None, "allow"),
+    "http://ads\u0130foo.net/": ("ads\u0130foo.net", "/", None, "block"),
+    "http://\u212aelvin-spam.net/": ("\u212aelvin-spam.net", "/", None, "block"),
     "no scheme": ("", "", None, "allow"),
     "://": ("", "", None, "allow"),
     "": ("", "", None, "allow"),
