@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -34,7 +34,7 @@ from skyfold.plans.suites import MODEL_CHECKS, declared_checks, fact_checks, raw
 from skyfold.schema import RUN_ID_FORMAT
 from skyfold.session import shuffle_partitions
 from skyfold.sinks.publish import Files, aside, swap, year_moves
-from skyfold.sinks.tables import OBSERVATION_LAYOUT, Layout, write_dimensions, write_table
+from skyfold.sinks.tables import OBSERVATION_LAYOUT, Layout, bucketed_table, write_dimensions, write_table
 from skyfold.sinks.versions import Snapshot, Staged, current, publish
 from skyfold.sources.observations import file_year, read_observations_csv, read_raw_csv, read_years, year_of_path
 from skyfold.sources.stations import read_countries_txt, read_stations_txt
@@ -42,6 +42,8 @@ from skyfold.sources.stations import read_countries_txt, read_stations_txt
 PARTIALS_LAYOUT = Layout(cluster=("id", "date"))
 #: Raw bytes of a batch of years: bounds map tasks times shuffle partitions.
 BATCH_BYTES = 2 << 40
+#: Raw bytes whose partials make a bucket. Few buckets, since every year has a file for each.
+BUCKET_BYTES = 2 << 30
 
 
 def new_run_id() -> str:
@@ -203,6 +205,12 @@ def plan_batches(bytes_per_year: dict[int, int], least_partitions: int = 1, batc
     return [Batch(years, max(least_partitions, shuffle_partitions(size, fewest=1))) for years, size in batches]
 
 
+def plan_buckets(bytes_per_year: dict[int, int], batches: list[Batch], fewest: int = 1) -> int:
+    """Buckets of the partials: enough for the largest batch, the same for all, so that a station's share of any year is found alike."""
+    largest = max(sum(bytes_per_year[y] for y in b.years) for b in batches)
+    return max(fewest, -(-largest // BUCKET_BYTES))
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key)
@@ -233,8 +241,8 @@ def build_facts(
     by side the second to end is refused.
 
     Dimensions are checked first: a doubled station would double its rows. Raw rows are read once, into daily partials, in
-    batches of years by their stored bytes; monthly partials come from those, and every fact from one of the two. Everything
-    is written aside, the declared checks of the facts must hold, and then the next version is published.
+    batches of years by their stored bytes; monthly partials come from those, and every fact from one of the two. Both are bucketed
+    by station, so months and years are merged, and stations joined, where the partials lie. Everything is written aside, the declared checks of the facts must hold, and then the next version is published.
 
     With ``changed_years``, after a full build, only those years are read; tables by year get those years replaced, or removed
     where nothing is left of them, and the small country tables are redone from the monthly partials of all years. Build fully
@@ -272,16 +280,18 @@ def build_facts(
     sizes = {y: stored[y] for y in years}
     batches = plan_batches(sizes, least, batch_bytes if sample_rows is None else sum(sizes.values()))
     daily_path, monthly_path = f"{new}/partials/daily", f"{new}/partials/monthly"
+    buckets = plan_buckets(sizes, batches, min(least, spark.sparkContext.defaultParallelism))
+    tables_of_build = ExitStack()
     try:
+        days = tables_of_build.enter_context(bucketed_table(spark, daily_path, PARTIALS_LAYOUT, buckets))
+        months = tables_of_build.enter_context(bucketed_table(spark, monthly_path, PARTIALS_LAYOUT, buckets))
         for batch in batches:
             with _setting(spark, "spark.sql.shuffle.partitions", str(batch.partitions)):
                 raw = sample(of_years(read_years(spark, root, first_year, last_year), batch.years), sample_rows)
-                write_table(roll_up(raw, ["id"], "day"), daily_path, PARTIALS_LAYOUT, only_years=True, arrange="spread")
-                held = of_years(spark.read.parquet(daily_path), batch.years)
-                months = merge_partials(held, ["id"], "month")
-                write_table(months, monthly_path, PARTIALS_LAYOUT, only_years=True, arrange="spread")
+                days.append(roll_up(raw, ["id"], "day"))
+                months.append(merge_partials(of_years(days.read(), batch.years), ["id"], "month"), in_buckets=True)
 
-        daily, monthly = spark.read.parquet(daily_path), spark.read.parquet(monthly_path)
+        daily, monthly = days.read(), months.read()
         all_months = monthly
         if partial:
             old = began.read("partials/monthly")
@@ -328,6 +338,7 @@ def build_facts(
             tables[name] = staged(name, with_year, by_year)
         publish(began, tables)
     finally:
+        tables_of_build.close()
         files.delete(new)
 
 

@@ -1,5 +1,7 @@
 from skyfold.sinks.tables import (
+    BucketedTable,
     Layout,
+    bucketed_table,
     clustered,
     create_view,
     register_view,
@@ -9,7 +11,9 @@ from skyfold.sinks.tables import (
 )
 
 __all__ = [
+    "BucketedTable",
     "Layout",
+    "bucketed_table",
     "clustered",
     "create_view",
     "register_view",

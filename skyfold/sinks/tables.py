@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,6 +91,46 @@ def write_table(
     writer.parquet(path)
 
 
+@dataclass(frozen=True)
+class BucketedTable:
+    """A table by year whose files each hold one of ``buckets`` shares of the keys, so groups of a key merge where they are read."""
+
+    spark: SparkSession
+    name: str
+    path: str
+    layout: Layout
+    buckets: int
+
+    @property
+    def key(self) -> str:
+        return self.layout.cluster[0]
+
+    def append(self, df: DataFrame, in_buckets: bool = False) -> None:
+        """Add rows. ``in_buckets``: they come from a table bucketed alike, through nothing that moves them, so none is shuffled."""
+        frame = _with_year(df)
+        if not in_buckets:
+            frame = frame.repartition(self.buckets, self.key)
+        writer = frame.write.mode("append").format("parquet").option("path", self.path).partitionBy("year")
+        writer.bucketBy(self.buckets, self.key).sortBy(*self.layout.cluster).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+
+@contextmanager
+def bucketed_table(spark: SparkSession, path: str, layout: Layout, buckets: int) -> Iterator[BucketedTable]:
+    """A new table at ``path``, bucketed and sorted by the layout's cluster columns.
+
+    The catalogue knows it under a name of its own while the block runs, since Spark keeps the buckets of a table there and not in
+    its files; afterwards the entry is gone and the files remain, a plain table by year.
+    """
+    name = f"skyfold_{uuid.uuid4().hex}"
+    try:
+        yield BucketedTable(spark, name, path, layout, buckets)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 OBSERVATION_LAYOUT = Layout(cluster=("id", "date"))
 
 
