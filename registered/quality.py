@@ -28,8 +28,10 @@ from skyfold.plans import (
     fact_checks,
     fact_from_observations,
     fact_from_partials,
+    last_passed,
     monthly_invariants,
     raw_checks,
+    run_bounded,
     store_results,
 )
 from skyfold.plans.suites import MODEL_CHECKS
@@ -284,3 +286,45 @@ union all
 def dq_stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = run_suite(raw_text(spark, sf_dir), raw_checks(), "observations")
     return store_results(results, f"{scratch(spark)}/results", "run")
+
+
+_LEAST_PERCENT = 90
+#: Runs one after the other, each over the observations up to a year; the third lacks rows, so the fourth is held against the second.
+_RUNS = [("1", 1996), ("2", 9999), ("3", 1994), ("4", 1997)]
+
+
+def _runs_sql() -> str:
+    counts = ", ".join(
+        f"(select count(*) from obs where year(date) <= {y}) as n{i}, (select count(*) - count(date) from obs where year(date) <= {y}) as d{i}"
+        for i, y in _RUNS
+    )
+
+    def least(rows: str) -> str:
+        return f"({rows} * {_LEAST_PERCENT} + 99) // 100"
+
+    # Each run's bound: 0 for the first, else from the run before or, if that failed, from the one before it.
+    rows = []
+    bounds = {"1": "0", "2": "l2", "3": "l3", "4": "l4"}
+    for i, _ in _RUNS:
+        rows.append(f"select '{i}' as run, 'not_null' as check_name, 'date' as column_name, n{i} as row_count, d{i} as violations, d{i} = 0 as passed from bounds")
+        short = f"greatest({bounds[i]} - n{i}, 0)"
+        rows.append(f"select '{i}', 'row_count', 'rows against the last passed run', n{i}, {short}, {short} = 0 from bounds")
+    return (
+        f"{WITH_SQL}, counts as (select {counts}), first as (select *, {least('n1')} as l2 from counts), "
+        f"second as (select *, case when n2 >= l2 then n2 else n1 end as p2 from first), "
+        f"third as (select *, {least('p2')} as l3 from second), "
+        f"fourth as (select *, case when n3 >= l3 then n3 else p2 end as p3 from third), "
+        f"bounds as (select *, {least('p3')} as l4 from fourth)\n" + "\nunion all\n".join(rows)
+    )
+
+
+@query(_runs_sql())
+def dq_bounds_from_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs over ever other shares of the observations, each held against the last that passed."""
+    path, obs = f"{scratch(spark)}/results", observations(spark, sf_dir)
+    runs = []
+    for run_id, last_year in _RUNS:
+        earlier = last_passed(spark, path, "observations")
+        found = run_bounded(obs.where(F.year("date") <= last_year), [not_null("date")], "observations", earlier, _LEAST_PERCENT)
+        runs.append(store_results(found, path, run_id).drop("table_name").withColumn("run", F.lit(run_id)))
+    return reduce(DataFrame.unionByName, runs)

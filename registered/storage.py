@@ -32,6 +32,7 @@ from skyfold.plans import (
     build_facts,
     catch_up,
     fact_from_observations,
+    fact_models,
     ingest_dimensions,
     ingest_year,
     read_facts,
@@ -262,8 +263,12 @@ def job_ingest_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _long(spark: SparkSession, out: str, variant: str) -> DataFrame:
     """All rows of all five built facts: one row for each measure."""
+    return _measures(read_facts(spark, out, variant))
+
+
+def _measures(facts: dict[str, DataFrame]) -> DataFrame:
     parts = []
-    for name, fact in read_facts(spark, out, variant).items():
+    for name, fact in facts.items():
         labels = ("id", "name", "country_name", "date", "station_name", "latitude_longitude")
         key = next(c for c in ("id", "name", "country_name") if c in fact.columns)
         date = F.col("date") if "date" in fact.columns else F.lit(None).cast("date")
@@ -299,16 +304,30 @@ def job_build_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(spark, _built(spark, sf_dir, "rounded"), "rounded")
 
 
+def _built_on_outdated(spark: SparkSession, sf_dir: str, root: str, out: str) -> None:
+    """Facts of an outdated year, and then that year corrected: what a refresh meets."""
+    outdated, correct = _outdated(spark, sf_dir)
+    replace_years(outdated, root)
+    build_facts(spark, root, stations(spark, sf_dir), countries(spark, sf_dir), out, *year_span(spark, sf_dir))
+    replace_years(correct, root)
+
+
 @query(long_sql("exact"))
 def job_refresh_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts built on an outdated year, then refreshed for that year only."""
     base = scratch(spark)
     root, out = f"{base}/observations", f"{base}/facts"
-    outdated, correct = _outdated(spark, sf_dir)
+    _built_on_outdated(spark, sf_dir, root, out)
     names = stations(spark, sf_dir), countries(spark, sf_dir)
-    span = year_span(spark, sf_dir)
-    replace_years(outdated, root)
-    build_facts(spark, root, *names, out, *span)
-    replace_years(correct, root)
-    build_facts(spark, root, *names, out, *span, changed_years=[CHANGED_YEAR])
+    build_facts(spark, root, *names, out, *year_span(spark, sf_dir), changed_years=[CHANGED_YEAR])
     return _long(spark, out, "exact")
+
+
+@query(long_sql("exact"))
+def models_by_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared models built without the changed year, then again from the changed source on."""
+    models, base = fact_models(), f"{scratch(spark)}/models"
+    sources = {"observations": observations(spark, sf_dir), "stations": stations(spark, sf_dir), "countries": countries(spark, sf_dir)}
+    models.build(spark, base, sources | {"observations": sources["observations"].where(F.year("date") != CHANGED_YEAR)})
+    built = models.build(spark, base, sources, changed=["observations"])
+    return _measures({name: built.read(name).drop("year") for name in FACTS})

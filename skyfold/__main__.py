@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("root")
     one.add_argument("year", type=int)
     one.add_argument("--results")
+    one.add_argument("--least-percent", type=int, help="refuse a file with less than this share of the rows of the last passed run")
 
     many = jobs.add_parser("backfill", help="check, type and replace many years")
     many.add_argument("root")
@@ -78,7 +79,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "ingest-year":
-        ingest_year(spark, args.csv, args.root, args.year, args.results)
+        ingest_year(spark, args.csv, args.root, args.year, args.results, least_percent=args.least_percent)
     elif args.job == "backfill":
         backfill_years(spark, args.csv, args.root, args.results)
     elif args.job == "catch-up":

@@ -1,3 +1,4 @@
+from skyfold.plans.bounds import Earlier, last_passed, run_bounded
 from skyfold.plans.facts import (
     FACTS,
     VARIANTS,
@@ -19,6 +20,7 @@ from skyfold.plans.jobs import (
     store_results,
 )
 from skyfold.plans.ledger import catch_up, mark_built, pending_years
+from skyfold.plans.models import Model, Models, fact_models
 from skyfold.plans.suites import MODEL_CHECKS, fact_checks, monthly_invariants, raw_checks
 
 __all__ = [
@@ -26,6 +28,9 @@ __all__ = [
     "MODEL_CHECKS",
     "VARIANTS",
     "Dimensions",
+    "Earlier",
+    "Model",
+    "Models",
     "backfill_years",
     "build_facts",
     "built_tables",
@@ -34,15 +39,18 @@ __all__ = [
     "check_sources",
     "check_tables",
     "fact_checks",
+    "fact_models",
     "fact_from_observations",
     "fact_from_partials",
     "ingest_dimensions",
     "ingest_year",
+    "last_passed",
     "mark_built",
     "monthly_invariants",
     "pending_years",
     "raw_checks",
     "read_fact",
     "read_facts",
+    "run_bounded",
     "store_results",
 ]

@@ -29,6 +29,7 @@ from skyfold.operators.quality import (
 )
 from skyfold.operators.rollup import merge_partials, roll_up
 from skyfold.operators.staging import sample, stage_stations
+from skyfold.plans.bounds import last_passed, least_rows, rows_result
 from skyfold.plans.facts import FACTS, VARIANTS, Dimensions, fact_from_partials
 from skyfold.plans.suites import MODEL_CHECKS, declared_checks, fact_checks, raw_checks
 from skyfold.schema import RUN_ID_FORMAT
@@ -74,6 +75,7 @@ def _load(
     results_path: str | None,
     run_id: str | None,
     arrange: str = "keep",
+    least_percent: int | None = None,
 ) -> None:
     """Replace ``years`` by ``typed`` if all ``checks`` hold on ``raw``, its text form, and every year has rows.
 
@@ -107,7 +109,11 @@ def _load(
         if empty := [y for y in years if y not in held]:
             found = passed_results(spark, checks, label, rows)
             gate(stored(found.unionAll(_failure(spark, label, "row_count", f"no rows: {empty}", rows, len(empty)))))
-        stored(passed_results(spark, checks, label, rows))
+        found = passed_results(spark, checks, label, rows)
+        if least_percent is not None and results_path is not None:
+            least = least_rows(last_passed(spark, results_path, label), least_percent)
+            found = found.unionAll(rows_result(spark, label, rows, least))
+        gate(stored(found))
         swap(spark, year_moves(spark, new, root, years))
     finally:
         Files(spark).delete(new)
@@ -121,16 +127,21 @@ def ingest_year(
     results_path: str | None = None,
     run_id: str | None = None,
     arrange: str = "keep",
+    least_percent: int | None = None,
 ) -> None:
     """Check one yearly file, type it, and replace that year. Repeating it leaves the same state.
 
+    With ``least_percent`` a file that has less than that share of the rows which the year's last passed run stored is refused.
+
     A scan split of the file holds one year only, so rows are sorted where they are read: no shuffle. For a year that will
     be read by day or id for long, ``arrange="grid"`` makes each file cover a stripe of days and a range of ids, at the cost of one.
     """
     raw = read_raw_csv(spark, csv_path)
     typed = read_observations_csv(spark, csv_path).withColumn("year", F.lit(year))
     checks = raw_checks(F.lit(year) if "DATE" in raw.columns else None)
-    _load(raw, typed, checks, str(year), root, [year], results_path, run_id, arrange)
+    if least_percent is not None and results_path is None:
+        raise ValueError("a bound from stored results needs results_path")
+    _load(raw, typed, checks, str(year), root, [year], results_path, run_id, arrange, least_percent)
 
 
 def backfill_years(
