@@ -18,7 +18,7 @@ import heapq
 from array import array
 from collections.abc import Iterator
 from fractions import Fraction
-from math import ceil, floor, lcm
+from math import ceil, lcm
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,35 +33,6 @@ CHUNK_DOCUMENTS = 20_000
 TEMPERATURE = 0.5
 
 
-def slots_of(weights: dict[str, float], round_slots: int) -> dict[str, int]:
-    """Whole slots of a round for each source, one at least, by the largest remainder."""
-    total, names = sum(weights.values()), sorted(weights)
-    round_slots = max(round_slots, len(names))
-    exact = {s: weights[s] / total * round_slots for s in names}
-    slots = {s: max(1, floor(exact[s])) for s in names}
-    short = round_slots - sum(slots.values())
-    for s in sorted(names, key=lambda s: (slots[s] - exact[s], s))[: max(0, short)]:
-        slots[s] += 1
-    while sum(slots.values()) > round_slots:
-        slots[max((s for s in names if slots[s] > 1), key=lambda s: (slots[s] - exact[s], s))] -= 1
-    return slots
-
-
-def earliest_deadline_round(slots: dict[str, int]) -> dict[str, list[int]]:
-    """For each source the slots that its blocks take in one round."""
-    size = sum(slots.values())
-    taken: dict[str, list[int]] = {s: [] for s in slots}
-    waiting = sorted((floor(i * size / q), ceil((i + 1) * size / q), s) for s, q in slots.items() for i in range(q))
-    ready: list[tuple[int, str]] = []
-    at = 0
-    for slot in range(size):
-        while at < len(waiting) and waiting[at][0] <= slot:
-            heapq.heappush(ready, waiting[at][1:])
-            at += 1
-        taken[heapq.heappop(ready)[1]].append(slot)
-    return taken
-
-
 def whole_shares(weights: dict[str, float]) -> dict[str, int]:
     """Whole numbers in the proportions of ``weights``.
 

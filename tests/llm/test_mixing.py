@@ -6,22 +6,21 @@ from math import ceil
 
 import pytest
 
-from skyfold.llm.mixing import earliest_deadline_round, mix, mixed_order, schedule, slots_of
+from skyfold.llm.mixing import mix, mixed_order, schedule
 
 
 @pytest.mark.parametrize("seed", range(30))
 def test_every_source_is_less_than_one_block_off_its_share(seed):
     r = random.Random(seed)
     weights = {f"s{i}": r.random() ** 3 + 1e-4 for i in range(r.randint(1, 12))}
-    slots = slots_of(weights, 200)
-    assert sum(slots.values()) == 200 and min(slots.values()) >= 1
-    taken = earliest_deadline_round(slots)
-    owner = {t: s for s, ts in taken.items() for t in ts}
-    done = dict.fromkeys(slots, 0)
-    for t in range(200):
+    length, total = 400, sum(Fraction(w) for w in weights.values())
+    plan = schedule(dict.fromkeys(weights, length), weights, 70)
+    owner = {p["base"] + t: s for s, parts in plan.items() for p in parts for t in p["slots"]}
+    done = dict.fromkeys(weights, 0)
+    for t in range(length):
         done[owner[t]] += 1
-        for s, q in slots.items():
-            assert abs(done[s] - (t + 1) * q / 200) < 1
+        for s, w in weights.items():
+            assert abs(done[s] - (t + 1) * Fraction(w) / total) < 1
 
 
 @pytest.mark.parametrize(
