@@ -12,7 +12,7 @@ each round, another one each time, so a vector near very many others stays one s
 
 Nulls and odd cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without
 id. Rows that share an id are one vector, the least. Equal vectors are one node with its smallest ids, as many as an answer can
-hold. Vectors must have one length. With fewer candidates than asked for, all are returned; an empty table gives no rows.
+hold. Of vectors of several lengths those of the most frequent length take part, the shorter one if two are as frequent. With fewer candidates than asked for, all are returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -55,6 +55,20 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
+def of_one_length(vectors: DataFrame) -> DataFrame:
+    """The rows whose vectors have the length that most usable vectors have."""
+    sizes = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding").cast("array<double>"))).groupBy(
+        F.size("embedding").alias("length")
+    )
+    most = sizes.count().orderBy(F.desc("count"), "length").first()
+    return vectors.where(F.size("embedding") == (most["length"] if most else 0))
+
+
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest component to between 1/2 and 1: exact, and safe to square."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
 def _matrix(column: pa.Array, kind: str = "<f4") -> np.ndarray:
     raw = b"".join(column.to_pylist())
     return np.frombuffer(raw, kind).reshape(len(column), -1).astype(np.float32) if len(column) else np.zeros((0, 0), np.float32)
@@ -83,8 +97,10 @@ def nodes_of(vectors: DataFrame, keep_ids: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = np.asarray(batch.column("v").to_pylist(), np.float64).reshape(batch.num_rows, -1)
-            v = v / np.abs(v).max(axis=1, keepdims=True)
+            if not batch.num_rows:
+                continue
+            v = np.asarray(batch.column("v").to_pylist(), np.float64)
+            v = scaled(v)
             unit = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype("<f4")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("ids").cast(pa.list_(pa.int64())), pa.array([r.tobytes() for r in unit], pa.binary())],
@@ -327,6 +343,7 @@ def nearest(vectors: DataFrame, queries: Column, scratch: Scratch, k: int = NEIG
 
     Every other row is a candidate. Scores are cosines of the original vectors in double precision.
     """
+    vectors = of_one_length(vectors)
     nodes = scratch.keep(nodes_of(vectors, k + 1), "nodes")
     pivots = Pivots(nodes)
     if not len(pivots.ids):
@@ -342,8 +359,10 @@ def nearest(vectors: DataFrame, queries: Column, scratch: Scratch, k: int = NEIG
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = np.asarray(batch.column("q").to_pylist(), np.float64).reshape(batch.num_rows, -1)
-            v = v / np.abs(v).max(axis=1, keepdims=True)
+            if not batch.num_rows:
+                continue
+            v = np.asarray(batch.column("q").to_pylist(), np.float64)
+            v = scaled(v)
             v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column("query"), pa.array([r.tobytes() for r in v], pa.binary())], names=["query", "unit"])
 
@@ -359,7 +378,9 @@ def nearest(vectors: DataFrame, queries: Column, scratch: Scratch, k: int = NEIG
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.asarray(batch.column(c).to_pylist(), np.float64).reshape(batch.num_rows, -1) for c in ("q", "v"))
+            if not batch.num_rows:
+                continue
+            a, b = (scaled(np.asarray(batch.column(c).to_pylist(), np.float64)) for c in ("q", "v"))
             score = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
             yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
 

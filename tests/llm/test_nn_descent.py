@@ -94,3 +94,40 @@ def test_a_large_leaf_is_dealt_out(spark, scratch, monkeypatch):
     expected = exact(vectors, list(range(0, 600, 50)), 5)
     hits = sum((row["vec_id"] in {i for i, _ in expected[row["query_id"]]}) for row in got)
     assert len(got) == 60 and hits >= 54
+
+
+def test_very_large_and_very_small_components_are_scored_as_others(spark, scratch):
+    base = {0: [1.0, 0.2], 1: [1.0, 0.1], 2: [0.5, 0.9], 3: [-1.0, 0.3], 4: [0.2, 1.0]}
+    factor = {0: 1e200, 1: 1e199, 2: 1e-170, 3: 1.0, 4: 5e-310}
+    rows = [(i, [x * factor[i] for x in v], 0) for i, v in base.items()]
+    doubles = SCHEMA.replace("float", "double")
+    got = nearest(spark.createDataFrame(rows, doubles), F.col("vec_id") % 50 == 0, scratch).orderBy("rank").collect()
+    expected = sorted(((float(np.dot(base[0], v) / np.linalg.norm(base[0]) / np.linalg.norm(v)), i) for i, v in base.items() if i), reverse=True)
+    assert [r["vec_id"] for r in got] == [i for _, i in expected]
+    assert [r["score"] for r in got] == pytest.approx([s for s, _ in expected], abs=1e-9)
+
+
+def test_scaling_changes_no_bit_of_an_ordinary_score():
+    r = np.random.default_rng(4)
+    a, b = r.normal(size=(200, 64)) * 3, r.normal(size=(200, 64))
+
+    def cosine(a, b):
+        return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+
+    assert np.array_equal(cosine(a, b), cosine(nn_descent.scaled(a), nn_descent.scaled(b)))
+
+
+def test_vectors_of_another_length_take_no_part(spark, scratch):
+    rows = [(0, [1.0, 0.0], 0), (1, [1.0, 1.0], 0), (2, [1.0, 2.0, 3.0], 0), (3, [1.0], 0), (50, [1.0], 0), (4, [0.0, 1.0], 0)]
+    rows += [(k, None, 0) for k in range(100, 110)]
+    got = nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, scratch).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["vec_id"]) for r in got] == [(0, 1), (0, 4)]
+    even = [(0, [1.0, 0.0], 0), (1, [1.0], 0), (2, [2.0, 1.0, 0.0], 0), (3, [1.0, 2.0, 0.0], 0), (4, [2.0, 1.0], 0)]
+    got = nearest(spark.createDataFrame(even, SCHEMA), F.col("vec_id") % 50 == 0, type(scratch)(spark, "even"))
+    assert [(r["query_id"], r["vec_id"]) for r in got.collect()] == [(0, 4)]
+
+
+def test_equal_scores_of_different_vectors_go_to_the_smaller_id(spark, scratch):
+    rows = [(0, [1.0, 0.0], 0), (9, [1.0, 1.0], 0), (7, [1.0, -1.0], 0), (8, [2.0, 2.0], 0), (5, [0.0, 1.0], 0)]
+    got = nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, scratch).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [7, 8, 9, 5]
