@@ -47,21 +47,53 @@ def _count_of(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def _repeat_words(words: Column) -> Column:
+def _covered(starts: Column) -> Column:
+    """Words covered by three-word windows that start at these positions."""
+    three = F.lit(3).cast("long")
+
+    def total(s: Column) -> Column:
+        widths = F.transform(s, lambda v, j: F.least(three, F.coalesce(F.get(s, j + 1) - v, three)))
+        return F.aggregate(widths, F.lit(0).cast("long"), lambda sum_, x: sum_ + x)
+
+    return let(F.sort_array(starts), total)
+
+
+def _repeat_words(words: Column, hash_bits: int = 64) -> Column:
     """Words inside three-word windows that the text holds twice or more.
 
-    A window's key is its hash with the low bits replaced by its position. Sorted, equal windows are neighbours.
+    A window's key is its hash with the low bits replaced by its position. Sorted, equal windows are neighbours. Neighbours with equal
+    hashes are compared word by word; a text where two of them differ is counted again by its windows as strings. ``hash_bits``
+    keeps fewer bits of the hash.
     """
     n = F.size(words)
 
+    def window(i: Column) -> list[Column]:
+        return [F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)]
+
+    def by_strings() -> Column:
+        # Words hold no blanks, so windows joined by one are equal only if their words are.
+        windows = F.transform(
+            F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.concat_ws(" ", *window(i)).alias("w"), i.cast("long").alias("i"))
+        )
+
+        def repeated(found: Column) -> Column:
+            def same(x: Column, j: Column) -> Column:
+                near = [F.coalesce(F.get(found, k)["w"] == x["w"], F.lit(False)) for k in (j - 1, j + 1)]
+                return near[0] | near[1]
+
+            return _covered(F.transform(F.filter(found, same), lambda x: x["i"]))
+
+        return let(F.sort_array(windows), repeated)
+
     def over(bits: Column) -> Column:
-        high = F.call_function("shiftleft", F.lit(-1).cast("long"), bits)
+        high = F.call_function("shiftleft", F.lit(-1).cast("long"), F.greatest(bits, F.lit(64 - hash_bits)))
+        at = F.call_function("shiftleft", F.lit(-1).cast("long"), bits)
 
         def key(i: Column) -> Column:
-            window = F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
-            return window.bitwiseAND(high).bitwiseOR(i.cast("long"))
+            return F.xxhash64(*window(i)).bitwiseAND(high).bitwiseOR(i.cast("long"))
 
-        keys = F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), key))
+        def position(k: Column) -> Column:
+            return k.bitwiseAND(F.bitwise_not(at))
 
         def repeated(sorted_keys: Column) -> Column:
             def same(k: Column, j: Column) -> Column:
@@ -70,17 +102,19 @@ def _repeat_words(words: Column) -> Column:
                     after.bitwiseAND(high) == k.bitwiseAND(high), F.lit(False)
                 )
 
-            starts = F.transform(F.filter(sorted_keys, same), lambda k: k.bitwiseAND(F.bitwise_not(high)))
-            return let(
-                F.sort_array(starts),
-                lambda s: F.aggregate(
-                    F.transform(s, lambda v, j: F.least(F.lit(3).cast("long"), F.coalesce(F.get(s, j + 1) - v, F.lit(3).cast("long")))),
-                    F.lit(0).cast("long"),
-                    lambda total, x: total + x,
-                ),
-            )
+            def confirmed(kept: Column) -> Column:
+                def differs(k: Column, j: Column) -> Column:
+                    before = F.get(kept, j - 1)
+                    here, there = window(position(k).cast("int")), window(position(before).cast("int"))
+                    other = (here[0] != there[0]) | (here[1] != there[1]) | (here[2] != there[2])
+                    return F.coalesce((before.bitwiseAND(high) == k.bitwiseAND(high)) & other, F.lit(False))
+
+                clash = F.exists(F.transform(kept, differs), lambda x: x)
+                return F.when(clash, by_strings()).otherwise(_covered(F.transform(kept, position)))
+
+            return let(F.filter(sorted_keys, same), confirmed)
 
-        return let(keys, repeated)
+        return let(F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), key)), repeated)
 
     return F.when(n < 3, F.lit(0).cast("long")).otherwise(let(F.length(F.bin(n)), over))
 

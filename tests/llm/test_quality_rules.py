@@ -4,10 +4,12 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyfold.llm.quality_rules import (
     BASE,
     Condition,
+    _repeat_words,
     judged,
     learn_rules,
     quality_filter,
@@ -74,6 +76,20 @@ def labelled(spark):
     return spark.createDataFrame(rows, make), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+@pytest.mark.parametrize("hash_bits", [1, 3, 8, 64])
+def test_windows_that_share_a_hash_are_told_apart_by_their_words(spark, documents, hash_bits):
+    texts = [t for t in TEXTS if t and len(t) < 20000] + [prose(k, 40 * k, 4 * k) for k in range(1, 12)]
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    found = {r["doc_id"]: r["n"] for r in documents(list(enumerate(texts))).select("doc_id", _repeat_words(words, hash_bits).alias("n")).collect()}
+    assert [found[i] for i in range(len(texts))] == [brute(t)[4] for t in texts]
+
+
+def test_a_text_of_many_words_is_counted_exactly(spark, documents):
+    text = prose(5, 300_000, 400)
+    row = with_statistics(documents([(1, text)])).first()
+    assert tuple(row[c] for c in BASE) == brute(text)
+
+
 def test_rules_learned_on_half_judge_the_other_half(spark, labelled, scratch):
     docs, labels = labelled
     statistics = with_statistics(docs)
