@@ -18,6 +18,7 @@ in a bucket. Other columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ UNSEEN = 0.5
 SLICE_BYTES = 1 << 20
 #: Text bytes of a block; larger ones combine more n-grams and take about 50 times as much memory in a task.
 BLOCK_BYTES = 4 << 20
+#: N-grams that a bucket counts, at most about, repeated ones included.
+BUCKET_NGRAMS = 8 << 20
 
 U64 = np.uint64
 _ROW = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("kind", pa.string()), ("payload", pa.binary())])
@@ -81,7 +84,7 @@ class Asked:
         self.counts = np.concatenate([c.astype(np.uint32) for _, _, c in parts])
         found = np.concatenate([f for f, _, _ in parts])
         del parts
-        bucket = ((found * U64(0xFF51AFD7ED558CCD)) >> U64(40)) % U64(buckets)
+        bucket = ((found * U64(0xFF51AFD7ED558CCD)) >> U64(24)) % U64(buckets)
         self.order = np.argsort(bucket.astype(np.uint32), kind="stable")
         self.keys = found[self.order] >> U64(16)
         bucket = bucket[self.order].astype(np.int64)
@@ -169,9 +172,11 @@ def _score(buckets: int, corpus_words: int):
     return run
 
 
-def backoff_scores(documents: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, n_words, log_score, mean_log_score``: the sum of the natural logarithms of a document's word scores, and their mean."""
-    buckets = shuffle_partitions(documents.sparkSession)
+def backoff_scores(documents: DataFrame, scratch: Scratch, bucket_ngrams: int = BUCKET_NGRAMS) -> DataFrame:
+    """``doc_id, n_words, log_score, mean_log_score``: the sum of the natural logarithms of a document's word scores, and their mean.
+
+    The count table has a bucket for every ``bucket_ngrams`` n-grams of the corpus, so a bucket stays as large as the corpus grows.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,6 +187,7 @@ def backoff_scores(documents: DataFrame, scratch: Scratch) -> DataFrame:
         as_blocks(documents, BLOCK_BYTES, keep_rest=False).mapInArrow(counted, "block long, payload binary, words long"), "blocks"
     )
     corpus_words = blocks.agg(F.sum("words")).first()[0] or 0
+    buckets = max(shuffle_partitions(documents.sparkSession), ceil(ORDER * corpus_words / bucket_ngrams))
     totals = scratch.keep(
         blocks.select("block", "payload").mapInArrow(_ask(buckets), _ROW_SQL).groupBy("bucket").applyInArrow(_count, _ROW_SQL), "totals"
     )

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ PASSAGE_BYTES = MIN_BYTES + WINDOWS - 1
 #: Bytes hashed at once, and passage bytes that one transform takes unless a single anchor has more.
 SLICE = 1 << 18
 TRANSFORM_BYTES = 1 << 20
+#: Occurrences of anchors that a bucket takes, at most about, before blocks combine equal passages.
+BUCKET_ANCHORS = 1 << 20
 
 U64 = np.uint64
 _MULTIPLIERS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -111,7 +114,7 @@ def hashes_at(text: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h * U64(0xFF51AFD7ED558CCD) >> U64(40)) % U64(buckets)).astype(np.int64)
+    return ((h * U64(0xFF51AFD7ED558CCD) >> U64(24)) % U64(buckets)).astype(np.int64)
 
 
 def _key(h: np.ndarray) -> np.ndarray:
@@ -454,18 +457,29 @@ def _cleaner(columns: list[str], target: pa.Schema):
     return run
 
 
-def _marked(documents: DataFrame, scratch: Scratch, keep_rest: bool) -> DataFrame:
-    """Rows of blocks, of where their passages occur, and of the passages' classes: what step 5 needs of each block."""
-    buckets = 2 * shuffle_partitions(documents.sparkSession)
+def _marked(documents: DataFrame, scratch: Scratch, keep_rest: bool, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
+    """Rows of blocks, of where their passages occur, and of the passages' classes: what step 5 needs of each block.
+
+    There is a bucket for every ``bucket_anchors`` anchors of the corpus, so a bucket stays as large as the corpus grows.
+    """
 
     def with_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            noted = [packed(np.diff(anchors_of(Block.from_bytes(p.as_py())), prepend=0).astype(np.uint32)) for p in batch.column("payload")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(noted, pa.binary())], names=["block", "payload", "anchors"])
+            noted, counts = [], []
+            for p in batch.column("payload"):
+                at = anchors_of(Block.from_bytes(p.as_py()))
+                noted.append(packed(np.diff(at, prepend=0).astype(np.uint32)))
+                counts.append(len(at))
+            columns = [*batch.columns, pa.array(noted, pa.binary()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "payload", "anchors", "n_anchors"])
 
     blocks = scratch.keep(
-        as_blocks(documents, keep_rest=keep_rest).mapInArrow(with_anchors, "block long, payload binary, anchors binary"), "blocks"
+        as_blocks(documents, keep_rest=keep_rest).mapInArrow(with_anchors, "block long, payload binary, anchors binary, n_anchors long"),
+        "blocks",
     )
+    n_anchors = blocks.agg(F.sum("n_anchors")).first()[0] or 0
+    blocks = blocks.drop("n_anchors")
+    buckets = max(2 * shuffle_partitions(documents.sparkSession), ceil(n_anchors / bucket_anchors))
     nowhere = F.lit(-1).cast("long").alias("bucket")
     texts = blocks.select(nowhere, "block", F.lit("block").alias("kind"), "payload")
     anchors = blocks.select(nowhere, "block", F.lit("anchors").alias("kind"), F.col("anchors").alias("payload"))
@@ -484,10 +498,10 @@ def _marked(documents: DataFrame, scratch: Scratch, keep_rest: bool) -> DataFram
     return texts.union(occurs).union(classes)
 
 
-def repeated_bytes(documents: DataFrame, scratch: Scratch) -> DataFrame:
+def repeated_bytes(documents: DataFrame, scratch: Scratch, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of each document."""
     return (
-        _marked(documents, scratch, keep_rest=False)
+        _marked(documents, scratch, keep_rest=False, bucket_anchors=bucket_anchors)
         .groupBy("block")
         .applyInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )

@@ -9,6 +9,7 @@ import pytest
 from skyfold.llm import backoff
 from skyfold.llm.backoff import backoff_scores
 from skyfold.llm.blocks import packed_keys, unpacked_keys
+from skyfold.llm.common import Scratch
 from tests.llm.conftest import prose
 
 
@@ -71,3 +72,14 @@ def test_nulls_repeats_one_document_and_empty_tables(spark, documents, scratch):
 def test_keys_travel_unchanged():
     keys = np.sort(np.random.default_rng(0).integers(0, 1 << 48, 1000, dtype=np.uint64))
     assert (unpacked_keys(packed_keys(keys)) == keys).all() and len(unpacked_keys(packed_keys(keys[:0]))) == 0
+
+
+def test_buckets_grow_with_the_corpus_and_scores_stay(spark, documents):
+    texts = [prose(i % 40, 150, 300) for i in range(80)]
+    docs = documents(list(enumerate(texts)))
+    few, many = Scratch(spark, "few"), Scratch(spark, "many")
+    expected = {tuple(r) for r in backoff_scores(docs, few).collect()}
+    found = {tuple(r) for r in backoff_scores(docs, many, bucket_ngrams=300).collect()}
+    assert {(r[0], r[1], round(r[2], 6)) for r in found} == {(r[0], r[1], round(r[2], 6)) for r in expected}
+    count = {s: spark.read.parquet(s.path("totals")).select("bucket").distinct().count() for s in (few, many)}
+    assert count[few] <= 8 and 3 * 80 * 150 // 300 * 0.9 < count[many] <= 3 * 80 * 150 // 300

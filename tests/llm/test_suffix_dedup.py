@@ -9,6 +9,7 @@ import pytest
 from skyfold.llm import suffix_dedup
 from skyfold.llm.blocks import block_of, packed, unpacked
 from skyfold.llm.bwt import least_by_class
+from skyfold.llm.common import Scratch
 from skyfold.llm.suffix_dedup import repeated_bytes, without_repeats
 from tests.llm.conftest import prose
 
@@ -82,6 +83,15 @@ def test_removed_bytes_equal_brute_force(documents, scratch, partitions):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
 
 
+def test_buckets_grow_with_the_corpus_and_rows_stay(spark, documents):
+    rows, scratch = corpus(), Scratch(spark, "many")
+    got = repeated_bytes(documents(rows), scratch, bucket_anchors=20).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    anchors = spark.read.parquet(scratch.path("blocks")).groupBy().sum("n_anchors").first()[0]
+    asked = spark.read.parquet(scratch.path("classes")).select("bucket").distinct().count()
+    assert 16 < asked <= -(-anchors // 20)
+
+
 def test_texts_longer_than_a_slice_and_many_blocks(documents, scratch, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SLICE", 400)
     block = block_of([1], [prose(9, 3000).encode()], documents([(1, "")]).select("lang").limit(0).toArrow())
