@@ -7,6 +7,7 @@ on them too, inputs first, reads the rest as it is published, and publishes one
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from graphlib import CycleError, TopologicalSorter
@@ -25,13 +26,17 @@ from skyfold.sinks.versions import Snapshot, Staged, current, publish
 
 @dataclass(frozen=True)
 class Model:
-    """``compute`` gets a frame for each input, in order. Without a layout the model is a view: computed where it is read, never stored."""
+    """``compute`` gets a frame for each input, in order. Without a layout the model is a view: computed where it is read, never stored.
+
+    ``arrange`` is that of ``write_table``: a model whose rows lie spread over many tasks already need not be shuffled once more.
+    """
 
     name: str
     inputs: tuple[str, ...]
     compute: Callable[..., DataFrame]
     layout: Layout | None = None
     checks: tuple[Check, ...] = ()
+    arrange: str = "spread"
 
 
 class Models:
@@ -46,11 +51,19 @@ class Models:
             raise ValueError(f"declared more than once: {twice}")
         if unknown := sorted({i for m in declared for i in m.inputs} - set(names)):
             raise ValueError(f"inputs that nothing declares: {unknown}")
+        sorter = TopologicalSorter({m.name: m.inputs for m in declared})
         try:
-            found = TopologicalSorter({m.name: m.inputs for m in declared}).static_order()
-            self.order = [n for n in found if n in self.by_name]
+            sorter.prepare()
         except CycleError as cycle:
             raise ValueError(f"models depend on each other: {' -> '.join(cycle.args[1])}") from None
+        #: Models by the longest way to them from the sources: those of one wave need nothing of each other.
+        self.waves: list[list[str]] = []
+        while sorter.is_active():
+            ready = sorter.get_ready()
+            sorter.done(*ready)
+            if wave := [n for n in ready if n in self.by_name]:
+                self.waves.append(wave)
+        self.order = [n for wave in self.waves for n in wave]
 
     def with_dependents(self, names: Iterable[str]) -> list[str]:
         """The models that are, or are made from, any of ``names``, sources among them; inputs first."""
@@ -65,32 +78,38 @@ class Models:
     def build(self, spark: SparkSession, base: str, sources: dict[str, DataFrame], changed: Iterable[str] | None = None) -> Snapshot:
         """Build all models, or those that ``changed`` ones and sources reach, into the set of tables at ``base``.
 
-        Stored models are written aside and read from there by those made from them. Readers see all new tables or none.
+        Stored models are written aside and read from there by those made from them. Models that need nothing of each other are
+        built side by side, so that small ones do not wait for the last tasks of large ones. Readers see all new tables or none.
         """
         if missing := sorted(set(self.sources) - set(sources)):
             raise ValueError(f"sources without a frame: {missing}")
         began, new = current(spark, base), aside(base)
         wanted = self.order if changed is None else self.with_dependents(changed)
         frames, staged, checked = dict(sources), {}, []
+
+        def make(name: str) -> DataFrame:
+            model = self.by_name[name]
+            if model.layout is not None and name not in wanted:
+                if name not in began.tables:
+                    raise ValueError(f"{name} is not built yet; build all models first")
+                return began.read(name)
+            frame = model.compute(*[frames[i] for i in model.inputs])
+            if model.layout is None:
+                return frame
+            path, schema = f"{new}/{name}", frame.schema
+            write_table(frame, path, model.layout, arrange=model.arrange)
+            if model.layout.by_year and "year" not in schema.names:
+                schema = StructType([*schema, StructField("year", IntegerType())])
+            staged[name] = Staged(path, schema, model.layout.by_year)
+            return spark.read.schema(schema).parquet(path)
+
         try:
+            for wave in self.waves:
+                with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+                    frames |= zip(wave, pool.map(make, wave), strict=True)
             for name in self.order:
-                model = self.by_name[name]
-                if model.layout is not None and name not in wanted:
-                    if name not in began.tables:
-                        raise ValueError(f"{name} is not built yet; build all models first")
-                    frames[name] = began.read(name)
-                    continue
-                frame = model.compute(*[frames[i] for i in model.inputs])
-                if model.layout is not None:
-                    path, schema = f"{new}/{name}", frame.schema
-                    write_table(frame, path, model.layout, arrange="spread")
-                    if model.layout.by_year and "year" not in schema.names:
-                        schema = StructType([*schema, StructField("year", IntegerType())])
-                    staged[name] = Staged(path, schema, model.layout.by_year)
-                    frame = spark.read.schema(schema).parquet(path)
-                frames[name] = frame
-                if model.checks and name in wanted:
-                    checked.append(run_suite(frame, model.checks, name))
+                if self.by_name[name].checks and name in wanted:
+                    checked.append(run_suite(frames[name], self.by_name[name].checks, name))
             if checked:
                 gate(reduce(DataFrame.unionAll, checked))
             return publish(began, staged)
@@ -115,13 +134,16 @@ def fact_models(variant: str = "exact") -> Models:
             return fact_from_partials(name, rows, Dimensions.of(stations, countries), variant, at_grain=name in per_input)
 
         inputs = (per_input.get(name, "partials/monthly"), "stations", "countries")
-        return Model(name, inputs, compute, FACTS[name].layout(variant), tuple(declared_checks(name, variant)))
+        # Facts at the partials' grain come in the order of their files, and a year's facts from tasks of all stations.
+        arrange = "spread" if FACTS[name].per_country else "keep"
+        return Model(name, inputs, compute, FACTS[name].layout(variant), tuple(declared_checks(name, variant)), arrange)
 
     return Models(
         ("observations", "stations", "countries"),
         [
-            Model("partials/daily", ("observations",), lambda rows: roll_up(rows, ["id"], "day"), partials),
-            Model("partials/monthly", ("partials/daily",), lambda rows: merge_partials(rows, ["id"], "month"), partials),
+            # Grouping has spread the rows evenly by id and date: a second shuffle, by year, would only make fewer files.
+            Model("partials/daily", ("observations",), lambda rows: roll_up(rows, ["id"], "day"), partials, arrange="keep"),
+            Model("partials/monthly", ("partials/daily",), lambda rows: merge_partials(rows, ["id"], "month"), partials, arrange="keep"),
             *[fact(name) for name in FACTS],
         ],
     )

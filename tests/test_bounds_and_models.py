@@ -15,7 +15,7 @@ from skyfold.plans import (
     run_bounded,
     store_results,
 )
-from skyfold.sinks import Layout
+from skyfold.sinks import Layout, write_table
 from tests.conftest import rows_of
 from tests.test_jobs import lines
 from tests.test_sources import write_csv
@@ -85,6 +85,24 @@ def test_declared_facts_equal_those_from_raw_rows(spark, tmp_path, observations,
     assert rows_of(again.read("stations_yearly")) == rows_of(built.read("stations_yearly"))
 
 
+def test_partials_and_station_facts_are_shuffled_once_and_waves_need_nothing_of_each_other(
+    spark, tmp_path, monkeypatch, observations, stations, countries
+):
+    arranged = {}
+
+    def noted(frame, path, layout, arrange):
+        arranged[path.split("/set")[1].split("/", 1)[1]] = arrange
+        write_table(frame, path, layout, arrange=arrange)
+
+    monkeypatch.setattr("skyfold.plans.models.write_table", noted)
+    models = fact_models()
+    models.build(spark, str(tmp_path / "set"), {"observations": observations, "stations": stations, "countries": countries})
+    assert {n for n, a in arranged.items() if a == "spread"} == {"countries_yearly", "countries_historic"}
+    assert {n for n, a in arranged.items() if a == "keep"} == {"partials/daily", "partials/monthly"} | {n for n in FACTS if "stations" in n}
+    assert [set(w) for w in models.waves[:2]] == [{"partials/daily"}, {"partials/monthly", "stations_daily"}]
+    assert set(models.waves[2]) == set(FACTS) - {"stations_daily"}
+
+
 def _model(name: str, *inputs: str, **options) -> Model:
     return Model(name, inputs, lambda first, *_: first, **options)
 
