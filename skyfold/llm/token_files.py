@@ -70,6 +70,13 @@ def parts_of(texts: list[bytes]) -> Iterator[list[bytes]]:
         begun = end
 
 
+def values_of(words: pa.LargeBinaryArray) -> list[bytes]:
+    """An array without nulls as a list: one copy of its bytes, cut, is several times faster than value by value."""
+    _, offsets, data = words.buffers()
+    raw, at = data.to_pybytes(), np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1].tolist()
+    return [raw[x:y] for x, y in zip(at, at[1:], strict=False)]
+
+
 class Encoder:
     """Encodes whole texts; for tokenizers that split at words, each distinct word only once.
 
@@ -110,12 +117,23 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.asarray(e.ids, dtype=self.type).tobytes() for e in found]
 
-    def _pieces(self, text: bytes) -> list[bytes]:
-        text = text.translate(self.table)
-        raw = np.frombuffer(text, np.uint8)
+    def _pieces(self, texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The pieces of texts, one after the other, by their distinct values; and how many lie before the end of each text."""
+        raw = np.frombuffer(b" ".join(texts).translate(self.table), np.uint8)
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
         kinds = self.kind[raw]
         cuts = np.flatnonzero(kinds[1:] * kinds[:-1] == 2) + 1
-        return (np.insert(raw, cuts, 32).tobytes() if len(cuts) else text).split(b" ")
+        if len(cuts):
+            raw = np.insert(raw, cuts, 32)
+            ends += np.searchsorted(cuts, ends)
+        visible = raw != 32
+        edges = np.flatnonzero(np.diff(visible, prepend=False, append=False))
+        starts, stops = edges[::2], edges[1::2]
+        offsets = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(stops - starts, out=offsets[1:])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[visible])]
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers)
+        return pieces.dictionary_encode(), np.searchsorted(starts, ends)
 
     def _learn(self, words: list[bytes]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
@@ -123,7 +141,8 @@ class Encoder:
         plain, other = [], []
         for w in words:
             s = w.decode()
-            (plain if s.isalpha() and max(s) < "ɐ" and "İ" not in s else other).append((w, s))
+            near = s.isascii() or (max(s) < "ɐ" and "İ" not in s)
+            (plain if near and s.isalpha() else other).append((w, s))
         for i in range(0, len(plain), 2000):
             part = plain[i : i + 2000]
             ids = np.asarray(
@@ -148,15 +167,26 @@ class Encoder:
         for part in parts_of(texts):
             lowered = [t.lower() for t in part]
             odd = [any(s in t for s in self.special) for t in lowered]
-            pieces = [[] if o else self._pieces(t) for o, t in zip(odd, part, strict=True)]
-            words = set().union(*pieces)
-            new = [w for w in words if w not in self.known]
+            pieces, ends = self._pieces([b"" if o else t for o, t in zip(odd, part, strict=True)])
+            words = values_of(pieces.dictionary)
+            found = list(map(self.known.get, words))
+            new = [w for w, f in zip(words, found, strict=True) if f is None]
             if new:
                 full = len(self.known) + len(new) > CACHE_WORDS
                 self._learn(sorted(words) if full else new)
-            get = self.known.__getitem__
+                found = list(map(self.known.__getitem__, words))
+            bounds = np.zeros(len(words) + 1, np.int64)
+            np.cumsum([len(f) for f in found], out=bounds[1:])
+            bounds //= self.width
+            which = pieces.indices.to_numpy()
+            counts = np.diff(bounds)[which]
+            before = np.zeros(len(which) + 1, np.int64)
+            np.cumsum(counts, out=before[1:])
+            at = np.repeat(bounds[which] - before[:-1], counts) + np.arange(before[-1])
+            ids = np.frombuffer(b"".join(found), self.type)[at].tobytes()
+            stops = (before[ends] * self.width).tolist()
             whole = iter(self._whole([t for o, t in zip(odd, part, strict=True) if o]))
-            out += [next(whole) if o else b"".join(map(get, p)) for o, p in zip(odd, pieces, strict=True)]
+            out += [next(whole) if o else ids[x:y] for o, x, y in zip(odd, [0, *stops], stops, strict=False)]
         return out
 
 

@@ -44,6 +44,25 @@ def test_encoder_equals_the_tokenizer(file):
         assert np.frombuffer(raw, encoder.type).tolist() == plain.encode(t, add_special_tokens=False).ids, t[:40]
 
 
+def test_a_word_is_looked_up_once_in_a_stretch_of_texts():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return dict.get(self, key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return dict.__getitem__(self, key)
+
+    encoder, texts = Encoder(definition()), [b"one two, one; two! one"] * 300 + [b"", b" ", b"two<|endoftext|>", b"two"]
+    expected = encoder.encode(texts)
+    encoder.known = Counted(encoder.known)
+    assert encoder.encode(texts) == expected
+    assert Counted.asked == 5  # one two , ; !
+
+
 def test_a_full_memory_is_emptied(monkeypatch):
     monkeypatch.setattr(token_files, "CACHE_WORDS", 50)
     texts = [prose(i, 120).encode() for i in range(200)]
