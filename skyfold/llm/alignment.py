@@ -27,6 +27,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -40,6 +41,7 @@ from tokenizers import Tokenizer
 from skyfold.llm.blocks import NO_ID, Block, as_blocks, packed, runs, unpacked
 from skyfold.llm.common import Scratch
 from skyfold.llm.perfect_hash import PerfectHash
+from skyfold.llm.token_files import values_of
 
 #: Buckets of pairs; one holds at most the product of the vocabularies' sizes divided by this.
 BUCKETS = 256
@@ -52,7 +54,7 @@ STRETCHES = 500_000
 
 #: Fixed value: the split of byte-level tokenizers that keep white space.
 BYTE_LEVEL_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+VISIBLE = re.compile(r"[\w!-~]")
 #: A token like this, or one that begins inside a character, could span a cut.
 ACROSS = re.compile("[\\w!-~\ufffd] ")
 
@@ -115,6 +117,27 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
+@cache
+def _visible() -> np.ndarray:
+    """Whether each character of the basic plane may stand beside a cut; beyond that plane nothing is cut."""
+    return np.asarray([bool(VISIBLE.match(chr(c))) for c in range(1 << 16)])
+
+
+def _beside(raw: np.ndarray, spaces: np.ndarray, before: bool) -> np.ndarray:
+    """Whether the characters right before or after these places of UTF-8 bytes are visible; the bytes end with three of padding on both sides."""
+    at = spaces - 1 if before else spaces + 1
+    out = (raw[at] > 32) & (raw[at] < 127)
+    other = np.flatnonzero(raw[at] >= 128)
+    first = at[other]
+    if before:  # back to the first byte of a character of two or three
+        first = first - np.where(raw[first - 1] >= 0xC0, 1, 2)
+    lead, second, third = (raw[first + k].astype(np.int64) for k in range(3))
+    two = (lead & 0x1F) << 6 | second & 0x3F
+    three = (lead & 0x0F) << 12 | (second & 0x3F) << 6 | third & 0x3F
+    out[other] = np.where(lead < 0xE0, _visible()[two], _visible()[three & 0xFFFF]) & (lead >= 0xC0) & (lead < 0xF0)
+    return out
+
+
 class Stretches:
     """Aligned stretches of text: for each its tokens, groups and links, the links as pairs ``a * width + b``."""
 
@@ -167,37 +190,57 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {}
         self.parts: list[Stretches] = []
         self.spelled: list[str] = []
 
-    def _learn(self, texts: list[str], spell: bool) -> None:
+    def _learn(self, texts: list[bytes], spell: bool) -> None:
         for i in range(0, len(texts), 50_000):
-            part = Stretches(self, texts[i : i + 50_000])
+            part = Stretches(self, [t.decode() for t in texts[i : i + 50_000]])
             self.place |= zip(texts[i : i + 50_000], range(len(self.place), len(self.place) + 50_000), strict=False)
             self.parts.append(part)
             if spell:
                 self.spelled += part.spelled()
+        if len(self.parts) > 1:
+            self.parts = [_joined(self.parts)]
+
+    def _cut(self, texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The stretches of texts, one after the other, by their distinct values; and how many each text has."""
+        raw = np.frombuffer(b"\n\n\n" + b"\n".join(texts) + b"\n\n\n", np.uint8)
+        ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64) + 2
+        begins = ends - [len(t) for t in texts]
+        cuts = np.flatnonzero(raw == 32) if self.cuts else np.zeros(0, np.int64)
+        for before in (True, False):
+            cuts = cuts[_beside(raw, cuts, before)]
+        starts, stops = np.sort(np.concatenate([begins, cuts + 1])), np.sort(np.concatenate([ends, cuts]))
+        inside = np.ones(len(raw), bool)
+        inside[:3] = inside[-3:] = inside[ends] = inside[cuts] = False
+        starts, stops = starts[stops > starts], stops[stops > starts]  # without empty texts
+        offsets = np.concatenate([[0], np.cumsum(stops - starts)])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]
+        found = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        return found, np.searchsorted(starts, ends) - np.searchsorted(starts, begins)
 
     def of(self, texts: list[bytes], spell: bool) -> Documents:
         """``texts`` aligned; ``spell`` must not change while an aligner remembers."""
         if len(self.place) > STRETCHES:
             self.forget()
-        decoded = [t.decode() for t in texts]
-        cut = [[] if not t else CUT.split(t) if self.cuts else [t] for t in decoded]
-        new = [s for s in dict.fromkeys(chain.from_iterable(cut)) if s not in self.place]
-        self._learn(new, spell)
-        if len(self.parts) > 1:
-            self.parts = [_joined(self.parts)]
-        found = Documents(self, cut)
+        cut, counts = self._cut(texts)
+        distinct = values_of(cut.dictionary)
+        places = list(map(self.place.get, distinct))
+        self._learn([s for s, p in zip(distinct, places, strict=True) if p is None], spell)
+        places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct)) if None in places else np.asarray(places, np.int64)
+        found = Documents(self, places[cut.indices.to_numpy()], counts)
         unsound = _distinct(found.owner[~self.parts[0].sound[found.which]]) if self.parts else []
         if len(unsound):  # seldom: decided on the whole text, as the definition says
-            whole = [decoded[d] for d in unsound.tolist()]
+            whole = [texts[d] for d in unsound.tolist()]
             self._learn([t for t in dict.fromkeys(whole) if t not in self.place], spell)
-            self.parts = [_joined(self.parts)]
-            for d, t in zip(unsound.tolist(), whole, strict=True):
-                cut[d] = [t] if self.parts[0].sound[self.place[t]] else []
-            found = Documents(self, cut)
+            which = np.asarray([self.place[t] for t in whole])
+            sound, kept = self.parts[0].sound[which], ~np.isin(found.owner, unsound)
+            owner = np.concatenate([found.owner[kept], unsound[sound]])
+            order = np.argsort(owner, kind="stable")
+            which = np.concatenate([found.which[kept], which[sound]])[order]
+            found = Documents(self, which, np.bincount(owner, minlength=len(texts)))
         return found
 
 
@@ -212,11 +255,9 @@ def _joined(parts: list[Stretches]) -> Stretches:
 class Documents:
     """Documents of a block as stretches: ``which`` stretch each is, and its document in ``owner``."""
 
-    def __init__(self, aligner: Aligner, cut: list[list[str]]) -> None:
-        self.aligner = aligner
-        self.counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        self.which = np.fromiter(map(aligner.place.__getitem__, chain.from_iterable(cut)), np.int64, int(self.counts.sum()))
-        self.owner = np.repeat(np.arange(len(cut)), self.counts)
+    def __init__(self, aligner: Aligner, which: np.ndarray, counts: np.ndarray) -> None:
+        self.aligner, self.which, self.counts = aligner, which, counts
+        self.owner = np.repeat(np.arange(len(counts)), counts)
 
     def _numbered(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct stretches, ascending, and which of them each is."""

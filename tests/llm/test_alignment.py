@@ -157,6 +157,28 @@ def test_a_worker_that_forgets_gives_the_same(plain, monkeypatch):
         ]
 
 
+def test_a_stretch_is_looked_up_once_a_block_and_cut_between_visible_characters():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return dict.get(self, key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return dict.__getitem__(self, key)
+
+    with open(A_PATH, encoding="utf-8") as f, open(B_PATH, "rb") as g:
+        aligner = alignment.Aligner(f.read(), g.read())
+    texts = ["one two  three", "", " ", " é à", "中 x\u3000y ’ z"]
+    aligner.of([t.encode() for t in texts * 50], spell=False)
+    assert sorted(aligner.place) == sorted(s.encode() for s in ("one", "two  three", " ", " é", "à", "中", "x\u3000y ’ z"))
+    aligner.place = Counted(aligner.place)
+    assert aligner.of([t.encode() for t in texts * 50], spell=False).counts.tolist() == [2, 0, 1, 2, 2] * 50
+    assert Counted.asked == len(aligner.place)
+
+
 def test_empty_tables(documents, spark):
     none = documents([(1, "x")]).limit(0)
     assert align(none, Scratch(spark, "align"), A_PATH, B_PATH).isEmpty()
